@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playpulse.filters import PlayerFilter
+from playpulse.functions.numbers import exact_sum
 from playpulse.plans.rollups import KEY, purchase_rollup, purchases_in_range, total, within_audience
-from playpulse.functions.numbers import exact
 from playpulse.schema import Tables
 
 
@@ -25,13 +25,10 @@ def item_revenue(tables: Tables, flt: PlayerFilter) -> DataFrame:
 
 def top_spenders(tables: Tables, flt: PlayerFilter, n: int = 10) -> DataFrame:
     """Players with the highest spending; ties go by player key, then platform."""
-    spent = (
-        purchases_in_range(tables, flt)
-        .groupBy(KEY)
-        .agg(
-            F.count("purchase_id").alias("purchases"),
-            F.sum(exact(tables.purchases, "price_usd")).alias("spent"),
-        )
+    purchases = purchases_in_range(tables, flt)
+    spent = purchases.groupBy(KEY).agg(
+        F.count("purchase_id").alias("purchases"),
+        exact_sum(purchases, "price_usd").alias("spent"),
     )
     players = (
         tables.players.filter(flt.on_platform())

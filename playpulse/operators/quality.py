@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playpulse.functions.numbers import exact, ratio, zero_if_null
+from playpulse.functions.numbers import exact_sum, ratio, zero_if_null
 from playpulse.schema import Tables
 
 
@@ -26,14 +26,15 @@ def _rows(name: str) -> Column:
 
 def warehouse_summary(tables: Tables) -> DataFrame:
     """Row counts of the three tables, total revenue and mean session length (0 if none)."""
-    minutes = exact(tables.sessions, "duration_minutes")
     merged = _side_by_side(
         tables.players.agg(_rows("players")),
         tables.sessions.agg(
-            _rows("sessions"), F.sum(minutes).alias("minutes"), F.count(minutes).alias("timed")
+            _rows("sessions"),
+            exact_sum(tables.sessions, "duration_minutes").alias("minutes"),
+            F.count("duration_minutes").alias("timed"),
         ),
         tables.purchases.agg(
-            _rows("purchases"), F.sum(exact(tables.purchases, "price_usd")).alias("revenue")
+            _rows("purchases"), exact_sum(tables.purchases, "price_usd").alias("revenue")
         ),
     )
     return merged.select(
@@ -52,7 +53,7 @@ def raw_profile(tables: Tables) -> DataFrame:
         tables.sessions.agg(_rows("sessions")),
         tables.purchases.agg(
             _rows("purchases"),
-            F.sum(exact(tables.purchases, "price_usd")).alias("revenue"),
+            exact_sum(tables.purchases, "price_usd").alias("revenue"),
             F.count_distinct("player_id").alias("paying_users"),
         ),
     )

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playpulse.filters import PlayerFilter
-from playpulse.functions.numbers import exact
+from playpulse.functions.numbers import exact_sum
 from playpulse.schema import Tables
 
 KEY = "player_id"
@@ -49,15 +49,11 @@ def total(name: str) -> Column:
 
 def purchase_rollup(tables: Tables, flt: PlayerFilter, *more_keys: str) -> DataFrame:
     """Per player (and further keys): rows, priced rows and their exact sum."""
-    price = exact(tables.purchases, "price_usd")
-    return (
-        purchases_in_range(tables, flt)
-        .groupBy(KEY, *more_keys)
-        .agg(
-            F.count("*").alias("purchases"),
-            F.count("price_usd").alias("priced"),
-            F.sum(price).alias("revenue"),
-        )
+    purchases = purchases_in_range(tables, flt)
+    return purchases.groupBy(KEY, *more_keys).agg(
+        F.count("*").alias("purchases"),
+        F.count("price_usd").alias("priced"),
+        exact_sum(purchases, "price_usd").alias("revenue"),
     )
 
 
@@ -68,24 +64,17 @@ def activity_rollup(tables: Tables, flt: PlayerFilter) -> DataFrame:
     one join to the players instead of two.
     """
     sessions = sessions_in_range(tables, flt).select(
-        KEY,
-        F.lit(1).alias("is_session"),
-        exact(tables.sessions, "duration_minutes").alias("minutes"),
+        KEY, F.lit(1).alias("is_session"), F.col("duration_minutes").alias("minutes")
     )
     purchases = purchases_in_range(tables, flt).select(
-        KEY,
-        F.lit(1).alias("is_purchase"),
-        exact(tables.purchases, "price_usd").alias("price"),
+        KEY, F.lit(1).alias("is_purchase"), F.col("price_usd").alias("price")
     )
-    return (
-        sessions.unionByName(purchases, allowMissingColumns=True)
-        .groupBy(KEY)
-        .agg(
-            F.count("is_session").alias("sessions"),
-            F.sum("minutes").alias("minutes"),
-            F.count("minutes").alias("timed"),
-            F.count("is_purchase").alias("purchases"),
-            F.sum("price").alias("revenue"),
-            F.count("price").alias("priced"),
-        )
+    activity = sessions.unionByName(purchases, allowMissingColumns=True)
+    return activity.groupBy(KEY).agg(
+        F.count("is_session").alias("sessions"),
+        exact_sum(activity, "minutes").alias("minutes"),
+        F.count("minutes").alias("timed"),
+        F.count("is_purchase").alias("purchases"),
+        exact_sum(activity, "price").alias("revenue"),
+        F.count("price").alias("priced"),
     )

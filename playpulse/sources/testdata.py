@@ -16,15 +16,25 @@ from playpulse.sources.warehouse import build_tables
 ITEM_TYPES = ("currency", "powerup", "cosmetic", "bundle")
 
 
+# Given rather than inferred: opening a table then reads no file footers.
+_CUSTOMER = "c_custkey bigint, c_nationkey int, c_mktsegment string"
+_NATION = "n_nationkey int, n_name string"
+_EVENTS = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+)
+
+
 def _no_source(kind: str, *names: str) -> list[Column]:
     return [F.lit(None).cast(kind).alias(name) for name in names]
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn(
-        "k", F.get_json_object("props", "$.k").cast("int")
+    customer = spark.read.schema(_CUSTOMER).parquet(f"{sf_dir}/customer.parquet")
+    nation = spark.read.schema(_NATION).parquet(f"{sf_dir}/nation.parquet")
+    events = (
+        spark.read.schema(_EVENTS)
+        .parquet(f"{sf_dir}/events.parquet")
+        .withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     )
 
     players = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
