@@ -135,9 +135,10 @@ def read_warehouse(
 def save_warehouse(tables: Tables, database: str, *, player_buckets: int | None = None) -> None:
     """The same rebuild as catalog tables.
 
-    ``player_buckets`` buckets the player dimension by its key, which spares
-    the reports its shuffle. The facts stay unbucketed: one player may own a
-    large part of them, and a bucket is read by a single task.
+    ``player_buckets`` buckets the player dimension by its key. With as many
+    buckets as reports use shuffle partitions, they no longer shuffle it. The
+    facts stay unbucketed: one player may own a large part of them, and a
+    bucket is read by a single task.
     """
     for name, df in tables.named().items():
         if name == "players" and player_buckets:
