@@ -23,13 +23,25 @@ def read_csv(
     """Scan one headed CSV table; without a schema the types are inferred.
 
     With a schema the header is checked against it and a malformed number
-    raises. Inference costs one more pass over the files. ``multiline`` allows
-    line breaks inside quoted fields, at the price of unsplittable files.
+    raises. Inference costs one more pass over the files; times are taken as
+    written, without a zone. ``multiline`` allows line breaks inside quoted
+    fields, at the price of unsplittable files.
     """
-    reader = spark.read.options(**_FORMAT, multiLine=multiline, mode="FAILFAST")
+    reader = spark.read.options(
+        **_FORMAT, multiLine=multiline, mode="FAILFAST", enforceSchema=False
+    )
     if schema is None:
-        return reader.option("inferSchema", True).csv(path)
-    return reader.option("enforceSchema", False).schema(schema).csv(path)
+        inferred = reader.option("inferSchema", True).csv(path).schema
+        schema = T.StructType(
+            [
+                T.StructField(
+                    f.name,
+                    T.TimestampNTZType() if f.dataType == T.TimestampType() else f.dataType,
+                )
+                for f in inferred
+            ]
+        )
+    return reader.schema(schema).csv(path)
 
 
 def read_raw(
