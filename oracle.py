@@ -40,57 +40,72 @@ purchases AS (
 )
 """
 
-MONEY = "CAST(SUM(CAST({0} AS DECIMAL(12,2))) AS DOUBLE)"
-PRICE = MONEY.format("u.price_usd")
+# Session-length buckets as (label, from, below), in minutes.
+BUCKETS = """(VALUES ('0-5 min', -1e300, 5.0), ('5-15 min', 5.0, 15.0), ('15-30 min', 15.0, 30.0),
+                     ('30-60 min', 30.0, 60.0), ('60+ min', 60.0, 1e300)) AS b(label, low, high)"""
+RETURN_DAYS = (1, 3, 7)
+
+
+def exact(column: str) -> str:
+    return f"CAST(SUM(CAST({column} AS DECIMAL(12,2))) AS DOUBLE)"
+
+
+def mean(column: str) -> str:
+    return f"{exact(column)} / NULLIF(COUNT({column}), 0)"
 
 
 def bodies(lo: str, hi: str, platforms: list[str] | None, retention: tuple[str, str]) -> dict[str, str]:
     """Query name -> SELECT over players / sessions / purchases for one filter setting."""
     if platforms is None:
-        on_platform = "TRUE"
+        chosen = "TRUE"
     elif not platforms:
-        on_platform = "FALSE"
+        chosen = "FALSE"
     else:
-        on_platform = "p.platform IN ({})".format(", ".join(f"'{name}'" for name in platforms))
-    in_s = f"s.session_date BETWEEN DATE '{lo}' AND DATE '{hi}'"
-    in_u = f"u.purchase_date BETWEEN DATE '{lo}' AND DATE '{hi}'"
-    b5 = f"FROM sessions s JOIN players p ON s.player_id = p.player_id WHERE {in_s} AND {on_platform}"
-    b6 = f"FROM purchases u JOIN players p ON u.player_id = p.player_id WHERE {in_u} AND {on_platform}"
-
-    active = f"(SELECT COUNT(DISTINCT s.player_id) {b5})"
-    n_sessions = f"(SELECT COUNT(*) {b5})"
-    revenue = f"(SELECT COALESCE({PRICE}, 0) {b6})"
-    payers = f"(SELECT COUNT(DISTINCT u.player_id) {b6})"
-    n_purchases = f"(SELECT COUNT(*) {b6})"
-    avg_price = f"(SELECT CASE WHEN COUNT(u.price_usd) > 0 THEN {PRICE} / COUNT(u.price_usd) ELSE 0.0::DOUBLE END {b6})"
-    arppu = f"(CASE WHEN {payers} > 0 THEN {revenue} / {payers} ELSE 0.0::DOUBLE END)"
-    conversion = f"(CASE WHEN {active} > 0 THEN {payers}::DOUBLE / {active} * 100 ELSE 0.0::DOUBLE END)"
-
-    bucket = """CASE WHEN s.duration_minutes < 5 THEN '0-5 min' WHEN s.duration_minutes < 15 THEN '5-15 min'
-        WHEN s.duration_minutes < 30 THEN '15-30 min' WHEN s.duration_minutes < 60 THEN '30-60 min'
-        ELSE '60+ min' END"""
-    durations = f"SELECT {bucket} AS duration_bucket, COUNT(*) AS sessions {b5} GROUP BY 1"
+        chosen = "platform IN ({})".format(", ".join(f"'{name}'" for name in platforms))
+    span = f"BETWEEN DATE '{lo}' AND DATE '{hi}'"
+
+    audience = f"(SELECT player_id, country, platform AS home FROM players WHERE {chosen})"
+    in_range = f"(SELECT * FROM sessions WHERE session_date {span})"
+    bought_in_range = f"(SELECT * FROM purchases WHERE purchase_date {span})"
+    visits = f"(SELECT * FROM {in_range} JOIN {audience} USING (player_id))"
+    buys = f"(SELECT * FROM {bought_in_range} JOIN {audience} USING (player_id))"
+
+    def one(expression: str, source: str) -> str:
+        return f"(SELECT {expression} FROM {source})"
+
+    active = one("COUNT(DISTINCT player_id)", visits)
+    n_sessions = one("COUNT(*)", visits)
+    revenue = one(f"COALESCE({exact('price_usd')}, 0)", buys)
+    payers = one("COUNT(DISTINCT player_id)", buys)
+    n_purchases = one("COUNT(*)", buys)
+    mean_price = one(f"COALESCE({mean('price_usd')}, 0)", buys)
+    arppu = f"COALESCE({revenue} / NULLIF({payers}, 0), 0)"
+    conversion = f"COALESCE(CAST({payers} AS DOUBLE) / NULLIF({active}, 0) * 100, 0)"
+
+    durations = f"""
+        SELECT b.label AS duration_bucket, COUNT(*) AS sessions
+        FROM {visits} v JOIN {BUCKETS}
+          ON COALESCE(v.duration_minutes, 60.0) >= b.low AND COALESCE(v.duration_minutes, 60.0) < b.high
+        GROUP BY b.label"""
 
     fanned = f"""
-        SELECT p.platform, COUNT(DISTINCT p.player_id) AS players,
+        SELECT home AS platform, COUNT(DISTINCT player_id) AS players,
                COUNT(DISTINCT s.session_id) AS sessions,
-               {MONEY.format('s.duration_minutes')} / NULLIF(COUNT(s.duration_minutes), 0) AS avg_duration,
-               COALESCE({PRICE}, 0) AS revenue
-        FROM players p
-        LEFT JOIN sessions s ON p.player_id = s.player_id AND {in_s}
-        LEFT JOIN purchases u ON p.player_id = u.player_id AND {in_u}
-        WHERE {on_platform}
-        GROUP BY p.platform"""
+               {mean('s.duration_minutes')} AS avg_duration,
+               COALESCE({exact('u.price_usd')}, 0) AS revenue
+        FROM {audience}
+        LEFT JOIN {in_range} s USING (player_id)
+        LEFT JOIN {bought_in_range} u USING (player_id)
+        GROUP BY home"""
     separate = f"""
-        SELECT a.platform, a.players, COALESCE(b.sessions, 0) AS sessions, b.avg_duration,
-               COALESCE(c.revenue, 0) AS revenue
-        FROM (SELECT p.platform, COUNT(DISTINCT p.player_id) AS players
-              FROM players p WHERE {on_platform} GROUP BY p.platform) a
-        LEFT JOIN (SELECT p.platform, COUNT(DISTINCT s.session_id) AS sessions,
-                          {MONEY.format('s.duration_minutes')} / NULLIF(COUNT(s.duration_minutes), 0) AS avg_duration
-                   {b5} GROUP BY p.platform) b ON a.platform IS NOT DISTINCT FROM b.platform
-        LEFT JOIN (SELECT p.platform, {PRICE} AS revenue {b6} GROUP BY p.platform) c
-               ON a.platform IS NOT DISTINCT FROM c.platform"""
+        SELECT p.home AS platform, p.players, COALESCE(v.sessions, 0) AS sessions, v.avg_duration,
+               COALESCE(b.revenue, 0) AS revenue
+        FROM (SELECT home, COUNT(DISTINCT player_id) AS players FROM {audience} GROUP BY home) p
+        LEFT JOIN (SELECT home, COUNT(DISTINCT session_id) AS sessions,
+                          {mean('duration_minutes')} AS avg_duration FROM {visits} GROUP BY home) v
+          ON p.home IS NOT DISTINCT FROM v.home
+        LEFT JOIN (SELECT home, {exact('price_usd')} AS revenue FROM {buys} GROUP BY home) b
+          ON p.home IS NOT DISTINCT FROM b.home"""
 
     def share(report: str, group: str, value: str, kind: str) -> str:
         whole = f"CAST(SUM(CAST({value} AS {kind})) OVER () AS DOUBLE)"
@@ -98,42 +113,46 @@ def bodies(lo: str, hi: str, platforms: list[str] | None, retention: tuple[str,
             CASE WHEN {whole} > 0 THEN {value} * 100.0::DOUBLE / {whole} ELSE 0.0::DOUBLE END AS share_pct
             FROM ({report})"""
 
-    first, last = retention
+    first_days = "SELECT player_id, MIN(session_date) AS first_session_date FROM sessions GROUP BY player_id"
+    from_day, to_day = retention
+    came_back = ", ".join(
+        f"SUM(CASE WHEN back_{n} THEN 1 ELSE 0 END)::BIGINT AS d{n}_retained" for n in RETURN_DAYS
+    )
+    flags = ", ".join(
+        f"""EXISTS (SELECT 1 FROM sessions again WHERE again.player_id = f.player_id
+            AND again.session_date = f.first_session_date + {n}) AS back_{n}"""
+        for n in RETURN_DAYS
+    )
     cohorts = f"""
-        SELECT f.first_session_date, COUNT(DISTINCT f.player_id) AS cohort_size,
-               COUNT(DISTINCT CASE WHEN s.session_date = f.first_session_date + 1 THEN s.player_id END) AS d1_retained,
-               COUNT(DISTINCT CASE WHEN s.session_date = f.first_session_date + 3 THEN s.player_id END) AS d3_retained,
-               COUNT(DISTINCT CASE WHEN s.session_date = f.first_session_date + 7 THEN s.player_id END) AS d7_retained
-        FROM (SELECT player_id, MIN(session_date) AS first_session_date FROM sessions GROUP BY player_id) f
-        LEFT JOIN sessions s ON f.player_id = s.player_id
-        WHERE f.first_session_date BETWEEN DATE '{first}' AND DATE '{last}'
-        GROUP BY f.first_session_date"""
+        SELECT first_session_date, COUNT(player_id) AS cohort_size, {came_back}
+        FROM (SELECT f.player_id, f.first_session_date, {flags} FROM ({first_days}) f)
+        WHERE first_session_date BETWEEN DATE '{from_day}' AND DATE '{to_day}'
+        GROUP BY first_session_date"""
     rates = ", ".join(
-        f"ROUND(d{n}_retained * 100.0::DOUBLE / NULLIF(cohort_size, 0), 2) AS d{n}_retention_pct" for n in (1, 3, 7)
+        f"ROUND(d{n}_retained * 100.0::DOUBLE / NULLIF(cohort_size, 0), 2) AS d{n}_retention_pct"
+        for n in RETURN_DAYS
     )
 
+    counts = ", ".join(f"(SELECT COUNT(*) FROM {t}) AS {t}" for t in ("players", "sessions", "purchases"))
+    all_revenue = one(f"COALESCE({exact('price_usd')}, 0)", "purchases")
+    all_payers = one("COUNT(DISTINCT player_id)", "purchases")
     return {
         "dim_players": "SELECT * FROM players",
         "fact_sessions": "SELECT * FROM sessions",
         "fact_purchases": "SELECT * FROM purchases",
-        "warehouse_summary": f"""SELECT (SELECT COUNT(*) FROM players) AS players,
-            (SELECT COUNT(*) FROM sessions) AS sessions, (SELECT COUNT(*) FROM purchases) AS purchases,
-            (SELECT COALESCE({PRICE}, 0) FROM purchases u) AS total_revenue,
-            (SELECT COALESCE({MONEY.format('s.duration_minutes')} / NULLIF(COUNT(s.duration_minutes), 0), 0)
-             FROM sessions s) AS avg_session_minutes""",
-        "raw_profile": f"""SELECT *, CASE WHEN paying_users > 0 THEN total_revenue / paying_users ELSE 0.0::DOUBLE END AS arppu,
-            CASE WHEN players > 0 THEN paying_users::DOUBLE / players * 100 ELSE 0.0::DOUBLE END AS paying_pct
-            FROM (SELECT (SELECT COUNT(*) FROM players) AS players, (SELECT COUNT(*) FROM sessions) AS sessions,
-                  (SELECT COUNT(*) FROM purchases) AS purchases,
-                  (SELECT COALESCE({PRICE}, 0) FROM purchases u) AS total_revenue,
-                  (SELECT COUNT(DISTINCT player_id) FROM purchases) AS paying_users)""",
+        "warehouse_summary": f"""SELECT {counts}, {all_revenue} AS total_revenue,
+            {one(f"COALESCE({mean('duration_minutes')}, 0)", "sessions")} AS avg_session_minutes""",
+        "raw_profile": f"""SELECT *, COALESCE(total_revenue / NULLIF(paying_users, 0), 0) AS arppu,
+            COALESCE(CAST(paying_users AS DOUBLE) / NULLIF(players, 0) * 100, 0) AS paying_pct
+            FROM (SELECT {counts}, {all_revenue} AS total_revenue, {all_payers} AS paying_users)""",
         "empty_table_check": """SELECT 'sessions' AS table_name, COUNT(*) AS n_rows, COUNT(*) = 0 AS is_empty FROM sessions
             UNION ALL SELECT 'purchases', COUNT(*), COUNT(*) = 0 FROM purchases""",
         "date_bounds": "SELECT MIN(session_date) AS min_date, MAX(session_date) AS max_date FROM sessions",
-        "platform_options": "SELECT DISTINCT platform FROM players ORDER BY platform",
-        "filtered_sessions": f"SELECT s.session_id, s.player_id, s.session_date, s.duration_minutes, p.country, p.platform {b5}",
-        "filtered_purchases": f"""SELECT u.purchase_id, u.player_id, u.purchase_date, u.item_type, u.price_usd, p.country,
-            p.platform AS player_platform {b6}""",
+        "platform_options": "SELECT platform FROM players GROUP BY platform ORDER BY platform NULLS LAST",
+        "filtered_sessions": f"""SELECT session_id, player_id, session_date, duration_minutes, country,
+            home AS platform FROM {visits}""",
+        "filtered_purchases": f"""SELECT purchase_id, player_id, purchase_date, item_type, price_usd, country,
+            home AS player_platform FROM {buys}""",
         "active_players": f"SELECT {active} AS active_players",
         "total_sessions": f"SELECT {n_sessions} AS total_sessions",
         "total_revenue": f"SELECT {revenue} AS total_revenue",
@@ -141,30 +160,32 @@ def bodies(lo: str, hi: str, platforms: list[str] | None, retention: tuple[str,
         "arppu": f"SELECT {arppu} AS arppu",
         "executive_kpis": f"""SELECT {active} AS active_players, {n_sessions} AS total_sessions,
             {revenue} AS total_revenue, {arppu} AS arppu""",
-        "dau_trend": f"SELECT s.session_date, COUNT(DISTINCT s.player_id) AS dau {b5} GROUP BY 1 ORDER BY 1",
-        "revenue_trend": f"SELECT u.purchase_date, {PRICE} AS revenue {b6} GROUP BY 1 ORDER BY 1",
+        "dau_trend": f"""SELECT session_date, COUNT(DISTINCT player_id) AS dau FROM {visits}
+            GROUP BY session_date ORDER BY session_date""",
+        "revenue_trend": f"""SELECT purchase_date, {exact('price_usd')} AS revenue FROM {buys}
+            GROUP BY purchase_date ORDER BY purchase_date""",
         "duration_distribution": durations,
         "duration_share": share(durations, "duration_bucket", "sessions", "BIGINT"),
-        "top_countries": f"""SELECT p.country, COUNT(DISTINCT s.player_id) AS players {b5}
-            GROUP BY 1 ORDER BY players DESC NULLS LAST, country NULLS LAST LIMIT 10""",
+        "top_countries": f"""SELECT country, COUNT(DISTINCT player_id) AS players FROM {visits}
+            GROUP BY country ORDER BY players DESC NULLS LAST, country NULLS LAST LIMIT 10""",
         "total_purchases": f"SELECT {n_purchases} AS total_purchases",
         "conversion_rate": f"SELECT {conversion} AS conversion_rate",
-        "avg_transaction": f"SELECT {avg_price} AS avg_transaction",
+        "avg_transaction": f"SELECT {mean_price} AS avg_transaction",
         "monetization_kpis": f"""SELECT {n_purchases} AS total_purchases, {conversion} AS conversion_rate,
-            {avg_price} AS avg_transaction, {revenue} AS total_revenue""",
-        "item_revenue": f"""SELECT u.item_type, COUNT(*) AS purchases, {PRICE} AS revenue {b6}
-            GROUP BY 1 ORDER BY revenue DESC NULLS LAST, item_type NULLS LAST""",
-        "top_spenders": f"""SELECT u.player_id, p.platform, COUNT(u.purchase_id) AS purchases, {PRICE} AS total_spent {b6}
-            GROUP BY 1, 2 ORDER BY total_spent DESC NULLS LAST, player_id NULLS LAST, platform NULLS LAST LIMIT 10""",
+            {mean_price} AS avg_transaction, {revenue} AS total_revenue""",
+        "item_revenue": f"""SELECT item_type, COUNT(*) AS purchases, {exact('price_usd')} AS revenue FROM {buys}
+            GROUP BY item_type ORDER BY revenue DESC NULLS LAST, item_type NULLS LAST""",
+        "top_spenders": f"""SELECT player_id, home AS platform, COUNT(purchase_id) AS purchases,
+            {exact('price_usd')} AS total_spent FROM {buys} GROUP BY player_id, home
+            ORDER BY total_spent DESC NULLS LAST, player_id NULLS LAST, platform NULLS LAST LIMIT 10""",
         "platform_metrics": fanned + " ORDER BY revenue DESC NULLS LAST, platform NULLS LAST",
-        "platform_metrics_dedup": separate + " ORDER BY revenue DESC NULLS LAST, a.platform NULLS LAST",
+        "platform_metrics_dedup": separate + " ORDER BY revenue DESC NULLS LAST, platform NULLS LAST",
         "platform_share": share(fanned, "platform", "players", "BIGINT"),
         "platform_share_sessions": share(fanned, "platform", "sessions", "BIGINT"),
         "platform_share_revenue": share(fanned, "platform", "revenue", "DECIMAL(30,2)"),
-        "player_first_day": """SELECT player_id, MIN(session_date) AS first_session_date
-            FROM sessions GROUP BY player_id""",
-        "retention_counts": cohorts + " ORDER BY 1",
-        "retention": f"SELECT first_session_date, cohort_size, {rates} FROM ({cohorts}) ORDER BY 1",
+        "player_first_day": first_days,
+        "retention_counts": cohorts + " ORDER BY first_session_date",
+        "retention": f"SELECT first_session_date, cohort_size, {rates} FROM ({cohorts}) ORDER BY first_session_date",
     }
 
 
