@@ -10,14 +10,16 @@ from playpulse.functions.numbers import ratio, zero_if_null
 from playpulse.plans.rollups import (
     KEY,
     activity_rollup,
+    joined_to,
+    per_player,
     purchase_rollup,
+    purchases_in_range,
+    seen_by,
     sessions_in_range,
-    total,
-    within_audience,
 )
 from playpulse.schema import Tables
 
-# The joined rows hold each player once, so counting rows counts distinct players.
+# On per-player rows counting rows counts distinct players.
 def _active() -> Column:
     return F.count_if(F.col("sessions") > 0)
 
@@ -31,55 +33,56 @@ def _conversion() -> Column:
 
 
 def _revenue() -> Column:
-    return zero_if_null(total("revenue"))
+    return zero_if_null(F.sum("revenue"))
 
 
 def _count(name: str) -> Column:
-    return F.coalesce(total(name), F.lit(0)).cast("bigint")
+    return F.coalesce(F.sum(name), F.lit(0))
 
 
-def _buyers(tables: Tables, flt: PlayerFilter) -> DataFrame:
-    return within_audience(purchase_rollup(tables, flt), tables, flt)
+def _purchases(tables: Tables, flt: PlayerFilter) -> DataFrame:
+    return joined_to(purchase_rollup(tables, flt), tables, flt)
 
 
 def _everyone(tables: Tables, flt: PlayerFilter) -> DataFrame:
-    return within_audience(activity_rollup(tables, flt), tables, flt)
+    return per_player(activity_rollup(tables, flt), tables, flt)
 
 
 def active_players(tables: Tables, flt: PlayerFilter) -> DataFrame:
     """Distinct players with a session anywhere in the range (not a per-day figure)."""
-    seen = sessions_in_range(tables, flt).select(KEY).distinct()
-    return within_audience(seen, tables, flt).agg(F.count("*").alias("active_players"))
+    players = sessions_in_range(tables, flt).select(KEY).distinct()
+    return seen_by(players, tables, flt).agg(F.count("*").alias("active_players"))
 
 
 def total_sessions(tables: Tables, flt: PlayerFilter) -> DataFrame:
     rollup = sessions_in_range(tables, flt).groupBy(KEY).agg(F.count("*").alias("sessions"))
-    joined = within_audience(rollup, tables, flt)
-    return joined.agg(_count("sessions").alias("total_sessions"))
+    return joined_to(rollup, tables, flt).agg(_count("sessions").alias("total_sessions"))
 
 
 def total_revenue(tables: Tables, flt: PlayerFilter) -> DataFrame:
-    return _buyers(tables, flt).agg(_revenue().alias("total_revenue"))
+    return _purchases(tables, flt).agg(_revenue().alias("total_revenue"))
 
 
 def paying_users(tables: Tables, flt: PlayerFilter) -> DataFrame:
     """Distinct players with a purchase in the range."""
-    return _buyers(tables, flt).agg(_paying().alias("paying_users"))
+    players = purchases_in_range(tables, flt).select(KEY).distinct()
+    return seen_by(players, tables, flt).agg(F.count("*").alias("paying_users"))
 
 
 def arppu(tables: Tables, flt: PlayerFilter) -> DataFrame:
     """Average revenue per paying user, 0 without payers."""
-    return _buyers(tables, flt).agg(ratio(_revenue(), _paying()).alias("arppu"))
+    buyers = per_player(purchase_rollup(tables, flt), tables, flt)
+    return buyers.agg(ratio(_revenue(), F.count("*")).alias("arppu"))
 
 
 def total_purchases(tables: Tables, flt: PlayerFilter) -> DataFrame:
-    return _buyers(tables, flt).agg(_count("purchases").alias("total_purchases"))
+    return _purchases(tables, flt).agg(_count("purchases").alias("total_purchases"))
 
 
 def avg_transaction(tables: Tables, flt: PlayerFilter) -> DataFrame:
     """Mean price of the purchases that have one, 0 without any."""
     mean = ratio(_revenue(), _count("priced"))
-    return _buyers(tables, flt).agg(mean.alias("avg_transaction"))
+    return _purchases(tables, flt).agg(mean.alias("avg_transaction"))
 
 
 def conversion_rate(tables: Tables, flt: PlayerFilter) -> DataFrame:

@@ -7,17 +7,18 @@ from pyspark.sql import functions as F
 
 from playpulse.filters import PlayerFilter
 from playpulse.functions.numbers import exact_sum
-from playpulse.plans.rollups import KEY, purchase_rollup, purchases_in_range, total, within_audience
+from playpulse.plans.rollups import KEY, joined_to, purchase_rollup, purchases_in_range
 from playpulse.schema import Tables
 
 
 def item_revenue(tables: Tables, flt: PlayerFilter) -> DataFrame:
     """Purchases and revenue per item type, highest revenue first."""
     return (
-        within_audience(purchase_rollup(tables, flt, "item_type"), tables, flt)
+        joined_to(purchase_rollup(tables, flt, "item_type"), tables, flt)
         .groupBy("item_type")
         .agg(
-            total("purchases").alias("purchases"), total("revenue").cast("double").alias("revenue")
+            F.sum("purchases").alias("purchases"),
+            F.sum("revenue").cast("double").alias("revenue"),
         )
         .orderBy(F.desc_nulls_last("revenue"), F.asc_nulls_last("item_type"))
     )
@@ -30,18 +31,13 @@ def top_spenders(tables: Tables, flt: PlayerFilter, n: int = 10) -> DataFrame:
         F.count("purchase_id").alias("purchases"),
         exact_sum(purchases, "price_usd").alias("spent"),
     )
-    players = (
-        tables.players.filter(flt.on_platform())
-        .groupBy(KEY, "platform")
-        .agg(F.count("*").alias("copies"))
-    )
+    players = tables.players.filter(flt.on_platform()).select(KEY, "platform")
     return (
         spent.join(players, KEY)
-        .select(
-            KEY,
-            "platform",
-            (F.col("purchases") * F.col("copies")).alias("purchases"),
-            (F.col("spent") * F.col("copies")).cast("double").alias("total_spent"),
+        .groupBy(KEY, "platform")
+        .agg(
+            F.sum("purchases").alias("purchases"),
+            F.sum("spent").cast("double").alias("total_spent"),
         )
         .orderBy(
             F.desc_nulls_last("total_spent"), F.asc_nulls_last(KEY), F.asc_nulls_last("platform")

@@ -11,10 +11,10 @@ from playpulse.filters import PlayerFilter
 from playpulse.functions.day_bits import DayBits
 from playpulse.plans.rollups import (
     KEY,
+    joined_to,
     purchase_rollup,
+    seen_by,
     sessions_in_range,
-    total,
-    within_audience,
 )
 from playpulse.schema import Tables
 
@@ -27,10 +27,10 @@ def dau_trend(tables: Tables, flt: PlayerFilter) -> DataFrame:
     sessions = sessions_in_range(tables, flt)
     bits = DayBits.between(flt.date_from, flt.date_to)
     if bits is None:
-        days = within_audience(sessions.select(KEY, "session_date").distinct(), tables, flt)
+        days = seen_by(sessions.select(KEY, "session_date").distinct(), tables, flt)
     else:
         rollup = sessions.groupBy(KEY).agg(*bits.aggregates("session_date"))
-        days = bits.unpack(within_audience(rollup, tables, flt), "session_date")
+        days = bits.unpack(seen_by(rollup, tables, flt), "session_date")
     return (
         days.groupBy("session_date")
         .agg(F.count("*").alias("dau"))
@@ -41,9 +41,9 @@ def dau_trend(tables: Tables, flt: PlayerFilter) -> DataFrame:
 def revenue_trend(tables: Tables, flt: PlayerFilter) -> DataFrame:
     """Revenue per day. Days without purchases have no row."""
     return (
-        within_audience(purchase_rollup(tables, flt, "purchase_date"), tables, flt)
+        joined_to(purchase_rollup(tables, flt, "purchase_date"), tables, flt)
         .groupBy("purchase_date")
-        .agg(total("revenue").cast("double").alias("revenue"))
+        .agg(F.sum("revenue").cast("double").alias("revenue"))
         .orderBy(F.asc_nulls_last("purchase_date"))
     )
 
@@ -78,22 +78,22 @@ def duration_distribution(
     rollup = numbered.groupBy(KEY).agg(
         *[F.count_if(F.col("bucket") == i).alias(label) for i, label in enumerate(labels)]
     )
-    sums = within_audience(rollup, tables, flt).agg(
-        *[F.sum(F.col(f"`{label}`") * F.col("copies")).alias(label) for label in labels]
-    )
-    return sums.unpivot([], [F.col(f"`{label}`") for label in labels], "duration_bucket", "sessions").filter(
-        F.col("sessions") > 0
+    columns = [F.col(f"`{label}`") for label in labels]
+    sums = joined_to(rollup, tables, flt).agg(
+        *[F.sum(column).alias(label) for column, label in zip(columns, labels)]
     )
+    rows = sums.unpivot([], columns, "duration_bucket", "sessions")
+    return rows.filter(F.col("sessions") > 0)
 
 
 def top_countries(tables: Tables, flt: PlayerFilter, n: int = 10) -> DataFrame:
     """Countries with the most distinct active players; ties go by name."""
     active = sessions_in_range(tables, flt).select(KEY).distinct()
-    homes = tables.players.filter(flt.on_platform()).select(KEY, "country").distinct()
+    homes = tables.players.filter(flt.on_platform()).select(KEY, "country")
     return (
         homes.join(active, KEY, "left_semi")
         .groupBy("country")
-        .agg(F.count("*").alias("players"))
+        .agg(F.count_distinct(KEY).alias("players"))
         .orderBy(F.desc_nulls_last("players"), F.asc_nulls_last("country"))
         .limit(n)
     )

@@ -8,7 +8,7 @@ one short row per map task, and the join that follows meets each key once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playpulse.filters import PlayerFilter
@@ -28,23 +28,32 @@ def purchases_in_range(tables: Tables, flt: PlayerFilter) -> DataFrame:
 
 
 def audience(tables: Tables, flt: PlayerFilter) -> DataFrame:
-    """Players on the chosen platforms, one row per key.
+    """Keys of the players on the chosen platforms."""
+    return tables.players.filter(flt.on_platform()).select(KEY)
+
+
+def seen_by(rollup: DataFrame, tables: Tables, flt: PlayerFilter) -> DataFrame:
+    """Rollup rows of those players, each once, for counting distinct players."""
+    return rollup.join(audience(tables, flt), KEY, "left_semi")
 
-    Nothing enforces that the key is unique, so ``copies`` says how often it
-    occurs: an inner join would have repeated each fact that many times.
-    """
-    chosen = tables.players.filter(flt.on_platform() & F.col(KEY).isNotNull())
-    return chosen.groupBy(KEY).agg(F.count("*").alias("copies"))
 
+def joined_to(rollup: DataFrame, tables: Tables, flt: PlayerFilter) -> DataFrame:
+    """Rollup rows of those players, for sums.
 
-def within_audience(rollup: DataFrame, tables: Tables, flt: PlayerFilter) -> DataFrame:
-    """Keep the rollup rows of players on the chosen platforms and add ``copies``."""
+    Nothing enforces that a player occurs once. Where one does not, its row
+    comes as often as an inner join would repeat each of its facts.
+    """
     return rollup.join(audience(tables, flt), KEY)
 
 
-def total(name: str) -> Column:
-    """Sum of a per-player figure over the joined rows."""
-    return F.sum(F.col(name) * F.col("copies"))
+def per_player(rollup: DataFrame, tables: Tables, flt: PlayerFilter) -> DataFrame:
+    """The same folded back to one row per player, for sums and distinct counts together.
+
+    The join has left the rows partitioned by player: no further shuffle.
+    """
+    figures = [name for name in rollup.columns if name != KEY]
+    joined = joined_to(rollup, tables, flt)
+    return joined.groupBy(KEY).agg(*[F.sum(name).alias(name) for name in figures])
 
 
 def purchase_rollup(tables: Tables, flt: PlayerFilter, *more_keys: str) -> DataFrame:
