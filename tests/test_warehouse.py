@@ -165,6 +165,17 @@ def test_rebuild_replaces_everything(spark, raw_dir, tmp_path):
     assert read_warehouse(spark, path).sessions.count() == 1
 
 
+def test_missing_start_keeps_the_session(spark, raw_dir, tmp_path):
+    raw = read_raw(spark, raw_dir)
+    cleared = raw.sessions.replace("2024-01-06 09:00:00", None, "session_start")
+    built = build_tables(Tables(raw.players, cleared, raw.purchases))
+    write_warehouse(built, str(tmp_path / "warehouse"))
+    opened = read_warehouse(spark, str(tmp_path / "warehouse"))
+    assert rows(opened) == rows(built)
+    assert values(kpis.total_sessions(opened, RANGE)) == [(2,)]
+    assert values(quality.warehouse_summary(opened))[0][1] == 3
+
+
 def test_empty_warehouse_opens(spark, tmp_path):
     path = str(tmp_path / "warehouse")
     write_warehouse(empty_tables(spark), path)
