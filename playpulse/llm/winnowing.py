@@ -7,8 +7,8 @@ each hit is extended word by word in both directions; a run counts if it covers
 window, so hash collisions never show in the result. An item of fewer words than a window
 is one window of its own length, matched by the hash of all its words.
 
-Plan: the fingerprints of the benchmark set bits in a filter of fixed size (2**FILTER_BITS
-bits, 1 MB, whatever the benchmark's size). Documents are read once, and only fingerprints
+Plan: the fingerprints of the benchmark set bits in a filter of fixed size (1 MB,
+whatever the benchmark's size). Documents are read once, and only fingerprints
 that pass it leave the task, grouped by hash, with the texts that have some. The rest is a
 join by hash, a grouping by document and the extension, all on those few documents. The
 filter saves work and decides nothing.
@@ -24,16 +24,17 @@ import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from playpulse.llm import bytewords
+from playpulse.llm import bitfilter, bytewords
 from playpulse.llm.scratch import cut
 
 WINDOW = 10
 GRAM = 8
-FILTER_BITS = 23
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -102,26 +103,6 @@ def _benchmark_prints(items: DataFrame, window: int, gram: int) -> DataFrame:
     )
 
 
-def _filter_of(prints: DataFrame) -> np.ndarray:
-    """A bit array of fixed size, set at the fingerprints; at most 2**FILTER_BITS / 32 rows come."""
-    bit = F.pmod("hash", F.lit(1 << FILTER_BITS))
-    cells = (
-        prints.select((bit / 32).cast("int").alias("cell"), (bit % 32).cast("int").alias("at"))
-        .groupBy("cell")
-        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at"))).alias("v"))
-        .toArrow()
-    )
-    filled = np.zeros(1 << (FILTER_BITS - 5), dtype=np.uint32)
-    filled[cells["cell"].to_numpy()] = cells["v"].to_numpy().astype(np.uint32)
-    return filled
-
-
-def _passing(filled: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    bit = hashes & np.uint64((1 << FILTER_BITS) - 1)
-    cell = filled[(bit >> np.uint64(5)).astype(np.int64)]
-    return (cell >> (bit & np.uint64(31)).astype(np.uint32)) & np.uint32(1) == 1
-
-
 def _candidates(
     words: bytewords.Words, filled: np.ndarray, lengths: list[int], window: int, gram: int
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -132,7 +113,7 @@ def _candidates(
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     hashes = np.concatenate([h for h, _ in found])
     places = np.concatenate([p for _, p in found])
-    keep = _passing(filled, hashes)
+    keep = bitfilter.passing(filled, hashes)
     return hashes[keep], places[keep]
 
 
@@ -243,7 +224,7 @@ class Matcher:
         ).distinct()
         self.items = texts.withColumn("item", F.xxhash64("item_id", "item_text"))
         self.prints = cut(_benchmark_prints(self.items, window, self.gram))
-        self.filled = _filter_of(self.prints)
+        self.filled = bitfilter.build(self.prints)
         self.lengths = sorted(r[0] for r in self.prints.select("length").distinct().collect())
 
     def scan(self, documents: DataFrame) -> DataFrame:
@@ -253,8 +234,6 @@ class Matcher:
             F.xxhash64(F.lit(0), "doc_id", "text").alias("text_key"),
             F.col("text").cast("string").alias("text"),
         )
-        from pyspark.sql.pandas.types import to_arrow_type
-
         scan = _scan(
             self.filled, self.lengths, self.window, self.gram, to_arrow_type(id_field.dataType)
         )
@@ -270,8 +249,6 @@ class Matcher:
 
         @F.pandas_udf("boolean")
         def any_print(texts):
-            import pandas as pd
-
             out = np.zeros(len(texts), dtype=bool)
             for words in bytewords.words(pa.array(texts, pa.string())):
                 _, places = _candidates(words, filled, lengths, window, gram)
