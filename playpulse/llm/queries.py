@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playpulse.llm import near_dedup, winnowing
+from playpulse.llm import near_dedup, sharding, winnowing
 from playpulse.llm.scratch import ship
 
 
@@ -20,6 +20,19 @@ def op1_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.shards(_table(spark, sf_dir, "documents"), n_shards=40)
+    return found.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnowing.contamination(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
@@ -36,6 +49,7 @@ def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_probminhash": op1_probminhash,
+    "op6_sampled_splitters": op6_sampled_splitters,
     "op7_winnowing": op7_winnowing,
 }
 
