@@ -31,7 +31,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -167,16 +166,57 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _marks(nodes: list[bytes], ids: pa.Array) -> np.ndarray:
+    """A 64-bit hash of node and doc_id."""
+    digests = (
+        hashlib.blake2b(node + str(i).encode(), digest_size=8).digest()
+        for node, i in zip(nodes, ids.to_pylist(), strict=True)
+    )
+    return np.frombuffer(b"".join(digests), dtype=np.int64)
+
+
+def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the mark of (node, id) as `hash`."""
+    for batch in batches:
+        marks = _marks(batch.column("node").to_pylist(), batch.column("id"))
+        yield batch.append_column("hash", pa.array(marks))
+
+
+def _marked(rows: DataFrame) -> DataFrame:
+    """Rows (node, id as text, ...) with their mark."""
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInArrow(_mark, f"{kinds}, hash long")
+
+
 def node_of(doc_id: Column, text: Column) -> Column:
     """A document's node: 16 bytes equal for texts of equal words."""
 
-    @F.pandas_udf("binary")
-    def digest(ids: pd.Series, texts: pd.Series) -> pd.Series:
-        return pd.Series(_nodes(pa.array(ids, pa.string()), pa.array(texts, pa.string())))
+    @F.arrow_udf("binary")
+    def digest(ids: pa.Array, texts: pa.Array) -> pa.Array:
+        return pa.array(_nodes(ids, texts), pa.binary())
 
     return digest(doc_id.cast("string"), text.cast("string"))
 
 
+def _texts_of(filled: np.ndarray):
+    """(node, hash, text) of the documents whose mark passes the filter."""
+
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = _nodes(batch.column("id"), batch.column("text"))
+            marks = _marks(nodes, batch.column("id"))
+            keep = pa.array(np.flatnonzero(bitfilter.passing(filled, marks.view(np.uint64))))
+            yield pa.record_batch(
+                {
+                    "node": pa.array(nodes, pa.binary()).take(keep),
+                    "hash": pa.array(marks).take(keep),
+                    "text": batch.column("text").take(keep),
+                }
+            )
+
+    return texts
+
+
 def probability_jaccard(a: np.ndarray, b: np.ndarray) -> float:
     """J of two texts, given the hashes of their shingles as they occur."""
     a, wa = np.unique(a, return_counts=True)
@@ -288,18 +328,13 @@ def _similar_nodes(documents: DataFrame, signed: DataFrame, threshold: float) ->
     wanted = nodes.select("node", "first_id").join(
         members.select("node").distinct(), "node", "left_semi"
     )
-    mark = F.xxhash64("node", F.col("first_id").cast("string"))
-    wanted = cut(wanted.withColumn("hash", mark))
+    wanted = cut(_marked(wanted.withColumn("id", F.col("first_id").cast("string"))))
     filled = bitfilter.build(wanted.select("hash"))
-    own = F.xxhash64("node", F.col("doc_id").cast("string"))
     texts = (
-        documents.select(
-            "doc_id", "text", node_of(F.col("doc_id"), F.col("text")).alias("node")
-        )
-        .withColumn("hash", own)
-        .where(bitfilter.passes(filled, F.col("hash")))
+        documents.select(F.col("doc_id").cast("string").alias("id"), "text")
+        .mapInArrow(_texts_of(filled), "node binary, hash long, text string")
         .join(wanted.select("node", "hash"), ["node", "hash"], "left_semi")
-        .select("node", F.col("text").cast("string").alias("text"))
+        .select("node", "text")
         .dropDuplicates(["node"])
     )
     texts = cut(texts)
@@ -372,25 +407,29 @@ def dedup(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     stays = F.col("doc_id").eqNullSafe(F.col("class_id")) & (
         F.coalesce(F.col("lead"), F.col("node")) == F.col("node")
     )
-    changed = cut(
-        judged.where(~stays | (F.col("n") > 1)).select(
-            F.col("doc_id").alias("j_id"),
-            F.col("node").alias("j_node"),
-            stays.alias("once"),
-            F.xxhash64("node", F.col("doc_id").cast("string")).alias("hash"),
-        )
+    changed = judged.where(~stays | (F.col("n") > 1)).select(
+        F.col("doc_id").cast("string").alias("id"), "node", stays.alias("once")
     )
+    changed = cut(_marked(changed))
     filled = bitfilter.build(changed.select("hash"))
-    node, mark, doubt = "__node", "__hash", "__doubt"
-    marked = (
-        documents.withColumn(node, node_of(F.col("doc_id"), F.col("text")))
-        .withColumn(mark, F.xxhash64(node, F.col("doc_id").cast("string")))
-        .withColumn(doubt, bitfilter.passes(filled, F.col(mark)))
+    changed = changed.select(
+        F.col("id").alias("j_id"), F.col("node").alias("j_node"), "once"
+    )
+    node, doubt = "__node", "__doubt"
+
+    @F.arrow_udf("boolean")
+    def doubtful(ids: pa.Array, nodes: pa.Array) -> pa.Array:
+        marks = _marks(nodes.to_pylist(), ids)
+        return pa.array(bitfilter.passing(filled, marks.view(np.uint64)))
+
+    text_id = F.col("doc_id").cast("string")
+    marked = documents.withColumn(node, node_of(F.col("doc_id"), F.col("text"))).withColumn(
+        doubt, doubtful(text_id, F.col(node))
     )
-    same = (F.col(node) == F.col("j_node")) & F.col("doc_id").eqNullSafe(F.col("j_id"))
+    same = (F.col(node) == F.col("j_node")) & text_id.eqNullSafe(F.col("j_id"))
     doubted = marked.where(doubt).join(changed, same, "left")
-    extra = ["j_id", "j_node", "once", "hash", node, mark, doubt]
+    extra = ["j_id", "j_node", "once", node, doubt]
     surely = marked.where(~F.col(doubt)).drop(*extra)
     unique = doubted.where(F.col("once").isNull()).drop(*extra)
-    repeated = doubted.where("once").dropDuplicates([node, mark]).drop(*extra)
+    repeated = doubted.where("once").dropDuplicates([node, "doc_id"]).drop(*extra)
     return surely.union(unique).union(repeated)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playpulse.llm import near_dedup, sharding, winnowing
-from playpulse.llm.scratch import ship
+from playpulse.llm import near_dedup, sharding, token_output, winnowing
+from playpulse.llm.scratch import new_folder, ship
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,10 +48,41 @@ def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+TOKENIZER = "word_bpe_49k.json"
+END_ID = 1
+
+
+def token_table(documents: DataFrame) -> DataFrame:
+    """Writes the documents' token files, reads them back and sums up what was read."""
+    import public_tokenizers
+
+    spark = documents.sparkSession
+    folder = new_folder(spark, "tokens")
+    token_output.write_tokens(documents, folder, public_tokenizers.path(TOKENIZER), END_ID)
+
+    @F.arrow_udf("long")
+    def crc32(ids: pa.Array) -> pa.Array:
+        import zlib
+
+        import numpy as np
+
+        values = ids.flatten().to_numpy().astype("<u4")
+        ends = np.cumsum(ids.value_lengths().to_numpy()).tolist()
+        return pa.array([zlib.crc32(values[a:b]) for a, b in zip([0, *ends], ends)], pa.int64())
+
+    read = token_output.read_tokens(spark, folder)
+    return read.select("doc_id", "start", "n_tokens", crc32("ids").alias("ids_crc32"))
+
+
+def op9_huffman_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_table(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_probminhash": op1_probminhash,
     "op6_sampled_splitters": op6_sampled_splitters,
     "op7_winnowing": op7_winnowing,
+    "op9_huffman_tokens": op9_huffman_tokens,
 }
 
 ORACLE: dict[str, str] = {}

@@ -10,6 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -40,7 +41,13 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application (as --py-files would)."""
+    """Make a session ready for the operators that run Python.
+
+    Sends this package to the Python workers, once per application (as --py-files would),
+    and bounds the bytes of an Arrow batch where the session does not.
+    """
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, "8m")  # long texts: a batch is bounded by bytes, not rows
     context = spark.sparkContext
     if getattr(context, "_playpulse_shipped", False):
         return

@@ -24,7 +24,6 @@ import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -247,13 +246,13 @@ class Matcher:
         """A column function: whether a text has fingerprints that pass the filter."""
         filled, lengths, window, gram = self.filled, self.lengths, self.window, self.gram
 
-        @F.pandas_udf("boolean")
-        def any_print(texts):
+        @F.arrow_udf("boolean")
+        def any_print(texts: pa.Array) -> pa.Array:
             out = np.zeros(len(texts), dtype=bool)
-            for words in bytewords.words(pa.array(texts, pa.string())):
+            for words in bytewords.words(texts):
                 _, places = _candidates(words, filled, lengths, window, gram)
                 out[words.first_row + np.unique(words.rows[places])] = True
-            return pd.Series(out)
+            return pa.array(out)
 
         return any_print
 
