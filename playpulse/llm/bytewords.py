@@ -43,7 +43,7 @@ _LOWER[65:91] += 32
 _IN_WORD = np.zeros(256, dtype=bool)
 _IN_WORD[48:58] = _IN_WORD[97:123] = _IN_WORD[65:91] = _IN_WORD[128:] = True
 #: A number for each byte after lower-casing; the hash of a word is a polynomial in them.
-_BYTE_VALUE = mix(np.arange(1, 257))[_LOWER]
+BYTE_VALUE = mix(np.arange(1, 257))[_LOWER]
 
 
 @dataclass
@@ -111,7 +111,7 @@ def byte_hashes(
 
 def _hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     if len(data) <= SLICE_BYTES:
-        return byte_hashes(data, starts, ends, _BYTE_VALUE)
+        return byte_hashes(data, starts, ends, BYTE_VALUE)
     hashes, at = np.empty(len(starts), dtype=_U), 0
     while at < len(starts):
         origin = starts[at]
@@ -120,7 +120,7 @@ def _hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
             word = data[origin : ends[at]]
             cuts = np.arange(0, len(word), SLICE_BYTES)
             parts = [
-                byte_hashes(piece, np.array([0]), np.array([len(piece)]), _BYTE_VALUE)[0]
+                byte_hashes(piece, np.array([0]), np.array([len(piece)]), BYTE_VALUE)[0]
                 for piece in (word[c : c + SLICE_BYTES] for c in cuts)
             ]
             hashes[at] = rolling(np.array(parts, dtype=_U), len(parts))[0]
@@ -128,7 +128,7 @@ def _hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         else:
             piece = data[origin : ends[to - 1]]
             hashes[at:to] = byte_hashes(
-                piece, starts[at:to] - origin, ends[at:to] - origin, _BYTE_VALUE
+                piece, starts[at:to] - origin, ends[at:to] - origin, BYTE_VALUE
             )
         at = to
     return hashes

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playpulse.llm import near_dedup, sharding, token_output, winnowing
+from playpulse.llm import line_quality, near_dedup, sharding, token_output, toxicity, winnowing
 from playpulse.llm.scratch import new_folder, ship
 
 
@@ -21,6 +21,33 @@ def op1_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_nearest_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = _table(spark, sf_dir, "labels").where(~toxicity.held_out(F.col("doc_id")))
+    found = toxicity.toxicity(_table(spark, sf_dir, "documents"), labels)
+    return found.select(
+        "doc_id",
+        F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.get("nearest", F.lit(0)).alias("nearest_id"),
+        F.get("similarity", F.lit(0)).alias("nearest_similarity"),
+    )
+
+
+def op5_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.judge(_table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "words_removed",
+        "base_failed",
+        "kept",
+    )
+
+
 def op6_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sharding.shards(_table(spark, sf_dir, "documents"), n_shards=40)
     return found.select(
@@ -80,9 +107,13 @@ def op9_huffman_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_probminhash": op1_probminhash,
+    "op4_nearest_examples": op4_nearest_examples,
+    "op5_line_frequency": op5_line_frequency,
     "op6_sampled_splitters": op6_sampled_splitters,
     "op7_winnowing": op7_winnowing,
     "op9_huffman_tokens": op9_huffman_tokens,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_line_frequency": line_quality.ORACLE_SQL,
+}
