@@ -8,7 +8,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playpulse.llm import line_quality, near_dedup, sharding, token_output, toxicity, winnowing
+from playpulse.llm import (
+    license_scan,
+    line_quality,
+    near_dedup,
+    sharding,
+    token_output,
+    toxicity,
+    winnowing,
+)
 from playpulse.llm.scratch import new_folder, ship
 
 
@@ -21,6 +29,10 @@ def op1_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op2_template_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.summary(license_scan.licenses(_table(spark, sf_dir, "documents")))
+
+
 def op4_nearest_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = _table(spark, sf_dir, "labels").where(~toxicity.held_out(F.col("doc_id")))
     found = toxicity.toxicity(_table(spark, sf_dir, "documents"), labels)
@@ -107,6 +119,7 @@ def op9_huffman_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_probminhash": op1_probminhash,
+    "op2_template_markup": op2_template_markup,
     "op4_nearest_examples": op4_nearest_examples,
     "op5_line_frequency": op5_line_frequency,
     "op6_sampled_splitters": op6_sampled_splitters,
@@ -115,5 +128,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_template_markup": license_scan.oracle_sql(),
     "op5_line_frequency": line_quality.ORACLE_SQL,
 }
