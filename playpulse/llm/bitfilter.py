@@ -8,7 +8,7 @@ fuller the filter, the more rows they join. It decides nothing.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BITS = 23
@@ -35,3 +35,32 @@ def passing(filled: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     bit = hashes.astype(np.uint64) & np.uint64((1 << BITS) - 1)
     cell = filled[(bit // np.uint64(_CELL)).astype(np.int64)]
     return (cell >> (bit % np.uint64(_CELL)).astype(np.uint32)) & np.uint32(1) == 1
+
+
+
+def cells(hashes: DataFrame) -> DataFrame:
+    """The filter of a long column `hash` as a table: 2**BITS / 64 rows at most."""
+    bit = F.pmod("hash", F.lit(1 << BITS))
+    return (
+        hashes.select(bit.alias("bit"))
+        .select(F.floor(F.col("bit") / 64).cast("int").alias("__cell"), "bit")
+        .groupBy("__cell")
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("__bits"))
+    )
+
+
+def passes(rows: DataFrame, table: DataFrame, hash_column: Column, name: str) -> DataFrame:
+    """rows with a boolean column `name`, by a broadcast of the filter's table.
+
+    The table has 131,072 short rows at most, whatever was put in, so it is always broadcast.
+    """
+    bit = F.pmod(hash_column, F.lit(1 << BITS))
+    found = rows.withColumn("__at", bit).withColumn(
+        "__cell", F.floor(F.col("__at") / 64).cast("int")
+    )
+    hit = F.getbit("__bits", (F.col("__at") % 64).cast("int")) == 1
+    return (
+        found.join(F.broadcast(table), "__cell", "left")
+        .withColumn(name, F.coalesce(hit, F.lit(False)))
+        .drop("__cell", "__at", "__bits")
+    )

@@ -74,16 +74,16 @@ def _repeated_words(words: Column) -> Column:
             spots = F.transform(kept, lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2))
             return F.size(F.array_distinct(F.flatten(spots)))
 
-        return _let(placed, twice)
+        return let(placed, twice)
 
     def counted(hashes: Column) -> Column:
         none = F.size(F.array_distinct(hashes)) == F.size(hashes)
         return F.when(none, F.lit(0)).otherwise(covered(hashes))
 
-    return F.when(n < 2, F.lit(0)).otherwise(_let(windows, counted))
+    return F.when(n < 2, F.lit(0)).otherwise(let(windows, counted))
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """use(value) with the value computed once."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
@@ -115,6 +115,11 @@ def figures(documents: DataFrame) -> DataFrame:
     )
 
 
+def line_hash(line: Column) -> Column:
+    """60 bits of a line's MD5, a number that SQL engines agree on."""
+    return F.conv(F.substring(F.md5(line), 1, 15), 16, 10).cast("long")
+
+
 def _line_rows(documents: DataFrame) -> DataFrame:
     """(source, doc_id, text_hash, place, line, n_words, setting) for every line with words."""
     text = F.translate(_text(), string.ascii_uppercase, string.ascii_lowercase)
@@ -124,7 +129,7 @@ def _line_rows(documents: DataFrame) -> DataFrame:
     hashed = F.transform(
         F.filter(normal, lambda x: x != ""),
         lambda x: F.struct(
-            F.conv(F.substring(F.md5(x), 1, 15), 16, 10).cast("long").alias("line"),
+            line_hash(x).alias("line"),
             (F.length(x) - F.length(F.translate(x, " ", "")) + 1).alias("n_words"),
         ),
     )

@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 from playpulse.llm import (
     license_scan,
+    line_chunks,
     line_quality,
+    mixing,
     near_dedup,
     sharding,
     token_output,
     toxicity,
+    url_filter,
     winnowing,
 )
 from playpulse.llm.scratch import new_folder, ship
@@ -33,6 +36,12 @@ def op2_template_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.summary(license_scan.licenses(_table(spark, sf_dir, "documents")))
 
 
+def op3_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_chunks.dedup_lines(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5")
+    )
+
+
 def op4_nearest_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = _table(spark, sf_dir, "labels").where(~toxicity.held_out(F.col("doc_id")))
     found = toxicity.toxicity(_table(spark, sf_dir, "documents"), labels)
@@ -87,6 +96,10 @@ def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_url_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.verdicts(_table(spark, sf_dir, "pages")).drop("score")
+
+
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 
@@ -117,17 +130,43 @@ def op9_huffman_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_table(_table(spark, sf_dir, "documents"))
 
 
+#: Share of tokens by domain; documents of the first keep their number of tokens.
+TARGETS = {"clean": 0.94, "poor": 0.04, "toxic": 0.02}
+
+
+def domain_labels(labels: DataFrame) -> DataFrame:
+    """(doc_id, domain) of the labelled documents."""
+    toxic, good = F.col("toxic") == 1, F.col("quality") == 1
+    domain = F.when(toxic, "toxic").when(good, "clean").otherwise("poor")
+    return labels.select("doc_id", domain.alias("domain"))
+
+
+def op10_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.rates(
+        _table(spark, sf_dir, "documents"),
+        domain_labels(_table(spark, sf_dir, "labels")),
+        TARGETS,
+        keep="clean",
+    )
+    chances = [F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(TARGETS)]
+    return found.select("doc_id", "n_tokens", *chances, "rate", "copies")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_probminhash": op1_probminhash,
     "op2_template_markup": op2_template_markup,
+    "op3_line_chunks": op3_line_chunks,
     "op4_nearest_examples": op4_nearest_examples,
     "op5_line_frequency": op5_line_frequency,
     "op6_sampled_splitters": op6_sampled_splitters,
     "op7_winnowing": op7_winnowing,
+    "op8_url_models": op8_url_models,
     "op9_huffman_tokens": op9_huffman_tokens,
+    "op10_soft_mixing": op10_soft_mixing,
 }
 
 ORACLE: dict[str, str] = {
     "op2_template_markup": license_scan.oracle_sql(),
+    "op3_line_chunks": line_chunks.ORACLE_SQL,
     "op5_line_frequency": line_quality.ORACLE_SQL,
 }
