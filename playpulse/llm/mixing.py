@@ -27,7 +27,6 @@ no expected tokens is not steered. Equal rows have equal rates. Empty tables giv
 from __future__ import annotations
 
 import math
-import string
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -38,6 +37,8 @@ from playpulse.llm.scratch import cut
 
 MOST_EXAMPLES = 12_000
 MOST_TERMS = 160
+CHI2 = 20.0
+LIFT = 4.0
 RIDGE = 1e-3
 STEPS = 60
 TOLERANCE = 1e-6
@@ -47,14 +48,14 @@ _BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 def _terms(text: Column) -> Column:
     """Distinct words of a text and marks for its properties."""
-    lower = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+    lower = F.lower(text)
 
     def of_words(words: Column) -> Column:
         n = F.greatest(F.size(words), F.lit(1))
 
         def of_distinct(distinct: Column) -> Column:
-            odd = F.length(text) - F.length(F.translate(text, "#*$%&|<>!", ""))
-            upper = F.length(text) - F.length(F.translate(text, string.ascii_uppercase, ""))
+            odd = F.regexp_count(text, F.lit(r"[#*$%&|<>!]"))
+            upper = F.regexp_count(text, F.lit(r"[A-Z]"))
             marks = [
                 ("#short", n < 50),
                 ("#odd", odd * 5 > n),
@@ -150,9 +151,16 @@ def fit_classifier(documents: DataFrame, labels: DataFrame, domains: list[str])
             expected = have * (n / total)
             off = F.col(f"n{i}") - expected
             chi2 = chi2 + off * off * (total / (total - have)) / expected
+    # Only terms that one domain has far more often than the rest: common words tell the
+    # length of a text and little else, and would be counted as evidence many times over.
+    lifts = [
+        (F.col(f"n{i}") + 0.5) / (n + 1.0) * (total - n + 1.0) / (have - F.col(f"n{i}") + 0.5)
+        for i, n in enumerate(sizes)
+    ]
     chosen = (
         counts.where(have < total)
         .withColumn("chi2", F.round(chi2, 6))
+        .where((F.col("chi2") > CHI2) & (F.greatest(*lifts) > LIFT))
         .orderBy(F.desc("chi2"), "term")
         .limit(MOST_TERMS)
         .collect()

@@ -152,6 +152,12 @@ def op10_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", *chances, "rate", "copies")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # it imports this module for its last stages
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_probminhash": op1_probminhash,
     "op2_template_markup": op2_template_markup,
@@ -163,6 +169,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_models": op8_url_models,
     "op9_huffman_tokens": op9_huffman_tokens,
     "op10_soft_mixing": op10_soft_mixing,
+    "pipeline": pipeline,
 }
 
 ORACLE: dict[str, str] = {
