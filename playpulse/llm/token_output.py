@@ -1,10 +1,11 @@
 """Token ids of a corpus as Huffman-coded files, and their reader.
 
-Writing takes two passes over the texts. The first counts all ids; their canonical code,
-no longer than CODE_LIMIT bits (or what the vocabulary needs), comes from these global
-counts. The second pass codes each document where it is read, so that only coded bytes are
-shuffled. Parts are ranges of doc_id by weighted sampled splitters; a part is sorted and
-written as blocks of whole documents of about BLOCK_BYTES.
+Texts are tokenized once, to a table of ids in the output folder. All ids are counted;
+their canonical code, no longer than CODE_LIMIT bits (or what the vocabulary needs), comes
+from these global counts. Each document is coded where its ids are read, so that only
+coded bytes are shuffled. Parts are ranges of doc_id by weighted sampled splitters; a part
+is sorted and written as blocks of whole documents of about BLOCK_BYTES. Then the table of
+ids is deleted.
 
 A folder holds two Parquet tables. `code`: id, length (the canonical code follows from
 them). `blocks`: part, block, first_token (within the part), and lists over the block's
@@ -24,6 +25,7 @@ gives tables without rows.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,49 +35,79 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from playpulse.llm import huffman, splitters, token_pieces
+from playpulse.llm.scratch import delete_folder
 
 CODE_LIMIT = 18
 BLOCK_BYTES = 1 << 19
 PART_BYTES = 64 << 20
 MAX_PARTS = 100_000
+_ROWS_AT_ONCE = 512
 
 
-def _counted(definition: str, end_id: int):
+def _tokenized(definition: str, end_id: int, width: str):
+    """The ids of every document, as bytes."""
+    size = np.dtype(width).itemsize
+
+    def tokenized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rest = batch.drop_columns(["text"])
+            for row, ids, bounds in token_pieces.encoded(definition, batch.column("text"), end_id):
+                n = len(bounds) - 1
+                yield pa.record_batch(
+                    {
+                        **{c: rest.column(c).slice(row, n) for c in rest.schema.names},
+                        "ids": _binary(ids.astype(width), bounds * size),
+                    }
+                )
+
+    return tokenized
+
+
+def _binary(values: np.ndarray, byte_bounds: np.ndarray) -> pa.Array:
+    """A binary column over the bytes of one array."""
+    offsets = pa.py_buffer(byte_bounds.astype(np.int32))
+    data = pa.py_buffer(np.ascontiguousarray(values))
+    return pa.Array.from_buffers(pa.binary(), len(byte_bounds) - 1, [None, offsets, data])
+
+
+def _views(column: pa.Array, width: str) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, bounds) of a binary column of ids."""
+    n = len(column)
+    offsets = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + n + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", dtype=np.uint8)[offsets[0] : offsets[-1]]
+    return data.view(width), (offsets - offsets[0]).astype(np.int64) // np.dtype(width).itemsize
+
+
+def _counted(width: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros(1, dtype=np.int64)
         for batch in batches:
-            for _, ids, _ in token_pieces.encoded(definition, batch.column("text"), end_id):
-                n = np.bincount(ids)
-                if len(n) > len(totals):
-                    totals = np.pad(totals, (0, len(n) - len(totals)))
-                totals[: len(n)] += n
+            n = np.bincount(_views(batch.column("ids"), width)[0])
+            if len(n) > len(totals):
+                totals = np.pad(totals, (0, len(n) - len(totals)))
+            totals[: len(n)] += n
         used = np.flatnonzero(totals)
         yield pa.record_batch({"id": used.astype(np.int32), "n": totals[used]})
 
     return count
 
 
-def _coded(definition: str, end_id: int, code: huffman.Code):
+def _coded(code: huffman.Code, width: str):
     words, lengths = code.encoder()
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rest = batch.drop_columns(["text"])
-            for row, ids, bounds in token_pieces.encoded(definition, batch.column("text"), end_id):
-                data, at, bits, steps = huffman.encode(ids, bounds, words, lengths)
-                raw, raw_bits = data.tobytes(), bits.astype("<u2").tobytes()
-                n = len(bounds) - 1
+            for at in range(0, batch.num_rows, _ROWS_AT_ONCE):
+                rows = batch.slice(at, _ROWS_AT_ONCE)
+                ids, bounds = _views(rows.column("ids"), width)
+                data, data_at, bits, steps = huffman.encode(ids, bounds, words, lengths)
+                rest = rows.drop_columns(["ids"])
                 yield pa.record_batch(
                     {
-                        **{c: rest.column(c).slice(row, n) for c in rest.schema.names},
+                        **{c: rest.column(c) for c in rest.schema.names},
                         "n_tokens": pa.array(np.diff(bounds), pa.int64()),
-                        "step_bits": pa.array(
-                            [raw_bits[2 * a : 2 * b] for a, b in zip(steps, steps[1:], strict=False)],
-                            pa.binary(),
-                        ),
-                        "coded": pa.array(
-                            [raw[a:b] for a, b in zip(at, at[1:], strict=False)], pa.binary()
-                        ),
+                        "step_bits": _binary(bits.astype("<u2"), 2 * steps),
+                        "coded": _binary(data, data_at),
                     }
                 )
 
@@ -133,6 +165,13 @@ def _blocks(id_type: pa.DataType):
     return blocks
 
 
+def _most(definition: str, end_id: int) -> int:
+    """The largest id that can occur."""
+    known = json.loads(definition)
+    added = [t["id"] for t in known.get("added_tokens", [])]
+    return max(*known["model"]["vocab"].values(), *added, end_id, 0)
+
+
 def write_tokens(
     documents: DataFrame, folder: str, tokenizer: str, end_id: int, part_bytes: int = PART_BYTES
 ) -> None:
@@ -143,10 +182,27 @@ def write_tokens(
     spark = documents.sparkSession
     with open(tokenizer, encoding="utf-8") as f:
         definition = f.read()
-    text = F.col("text").cast("string").alias("text")
+    width = "<u2" if _most(definition, end_id) < 1 << 16 else "<u4"
+    field = documents.schema["doc_id"]
+    id_type = field.dataType.simpleString()
+    keyed = documents.select(
+        "doc_id",
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(splitters.LEAST)).alias("first"),
+        F.xxhash64("text").alias("second"),
+        F.col("text").cast("string").alias("text"),
+    )
+    (
+        keyed.mapInArrow(
+            _tokenized(definition, end_id, width),
+            f"doc_id {id_type}, first long, second long, ids binary",
+        )
+        .write.option("compression", "zstd")
+        .parquet(f"{folder}/ids")
+    )
+    stored = spark.read.parquet(f"{folder}/ids")
     counts = (
-        documents.select(text)
-        .mapInArrow(_counted(definition, end_id), "id int, n long")
+        stored.select("ids")
+        .mapInArrow(_counted(width), "id int, n long")
         .groupBy("id")
         .agg(F.sum("n").alias("n"))
         .toArrow()
@@ -165,16 +221,9 @@ def write_tokens(
     total = keys.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]
     wanted = max(-(-total // part_bytes), spark.sparkContext.defaultParallelism)
     cuts = splitters.splitters(keys, min(wanted, MAX_PARTS), total)
-    field = documents.schema["doc_id"]
-    id_type = field.dataType.simpleString()
-    rows = documents.select(
-        "doc_id",
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(splitters.LEAST)).alias("first"),
-        F.xxhash64("text").alias("second"),
-        text,
-    ).withColumn("part", splitters.range_of(F.col("first"), F.col("second"), cuts))
+    rows = stored.withColumn("part", splitters.range_of(F.col("first"), F.col("second"), cuts))
     coded = rows.mapInArrow(
-        _coded(definition, end_id, code),
+        _coded(code, width),
         f"doc_id {id_type}, first long, second long, part int, "
         "n_tokens long, step_bits binary, coded binary",
     )
@@ -184,6 +233,7 @@ def write_tokens(
         .mapInArrow(_blocks(to_arrow_type(field.dataType)), _BLOCK.format(id=id_type))
         .write.parquet(f"{folder}/blocks")
     )
+    delete_folder(spark, f"{folder}/ids")
 
 
 def _decoded(code: huffman.Code, part_starts: np.ndarray):

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,7 @@ from playpulse.llm import bytewords
 KEPT_BYTES = 48
 _SLOTS = 1 << 21
 _MOST_ENTRIES = 1 << 20
+_AT_ONCE = 2048
 
 _BLANK, _LETTER, _DIGIT, _OTHER, _OPEN = range(5)
 _KIND = np.full(256, _OTHER, dtype=np.uint8)
@@ -70,12 +72,12 @@ class Tokens:
 
     def _ids(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids of each piece)."""
-        encoded = self.tokenizer.encode_batch_fast(
-            [p.decode() for p in pieces], add_special_tokens=False
-        )
-        ids = [e.ids for e in encoded]
-        counts = np.array([len(i) for i in ids], dtype=np.int64)
-        flat = np.fromiter((x for i in ids for x in i), dtype=np.uint32, count=int(counts.sum()))
+        ids: list[list[int]] = []
+        for at in range(0, len(pieces), _AT_ONCE):
+            texts = [p.decode() for p in pieces[at : at + _AT_ONCE]]
+            ids += [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(counts.sum()))
         return flat, counts
 
     def _learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
@@ -85,12 +87,16 @@ class Tokens:
         flat, counts = self._ids(pieces)
         self.begin = np.append(self.begin, self.begin[-1] + np.cumsum(counts))
         self.pool = np.append(self.pool, flat)
-        for n, h in enumerate(hashes.tolist()):
-            at = h % _SLOTS
-            while self.keys[at]:
-                at = (at + 1) % _SLOTS
-            self.keys[at] = h
-            self.entry[at] = first + n
+        at = (hashes & np.uint64(_SLOTS - 1)).astype(np.int64)
+        open_ = np.arange(len(hashes))
+        while len(open_):
+            free = open_[self.keys[at[open_]] == 0]
+            _, one = np.unique(at[free], return_index=True)  # one newcomer for each free slot
+            placed = free[one]
+            self.keys[at[placed]] = hashes[placed]
+            self.entry[at[placed]] = first + placed
+            open_ = open_[self.keys[at[open_]] != hashes[open_]]
+            at[open_] = (at[open_] + 1) % _SLOTS
 
     def _pieces(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts and ends of the pieces of a slice."""
