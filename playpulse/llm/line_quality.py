@@ -20,7 +20,6 @@ is a host. Rows of equal doc_id and text have equal verdicts. An empty table giv
 
 from __future__ import annotations
 
-import string
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -39,6 +38,8 @@ BASE_MOST_REPEATED = 50
 #: White space of the word rule: blank, tab, line feed, vertical tab, form feed, return.
 _SPACE = " \t\n\x0b\x0c\r"
 _SPACES = r"[\x20\x09-\x0D]+"
+#: The same but for the line feed.
+_BLANKS = r"[\x20\x09\x0B-\x0D]+"
 _SYMBOLS = r"[#*$%&|<>]"
 
 
@@ -92,7 +93,6 @@ def figures(documents: DataFrame) -> DataFrame:
     """documents' doc_id and source with the figures of the base rules."""
     text = _text()
     lines = F.filter(F.split(text, "\n"), lambda x: F.trim(x, F.lit(_SPACE)) != "")
-    spaceless = F.regexp_replace(text, _SPACES, "")
     rows = documents.select(
         "doc_id",
         "source",
@@ -100,7 +100,6 @@ def figures(documents: DataFrame) -> DataFrame:
         text.alias("text"),
         _split_words(text).alias("words"),
         lines.alias("lines"),
-        F.length(spaceless).cast("long").alias("word_chars"),
         F.regexp_count(text, F.lit(_SYMBOLS)).cast("long").alias("n_symbols"),
     )
     return rows.select(
@@ -108,7 +107,7 @@ def figures(documents: DataFrame) -> DataFrame:
         "source",
         "text_hash",
         F.size("words").cast("long").alias("n_words"),
-        "word_chars",
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         _repeated_words(F.col("words")).cast("long").alias("n_repeat_words"),
@@ -122,15 +121,13 @@ def line_hash(line: Column) -> Column:
 
 def _line_rows(documents: DataFrame) -> DataFrame:
     """(source, doc_id, text_hash, place, line, n_words, setting) for every line with words."""
-    text = F.translate(_text(), string.ascii_uppercase, string.ascii_lowercase)
-    normal = F.transform(
-        F.split(text, "\n"), lambda x: F.trim(F.regexp_replace(x, _SPACES, " "))
-    )
+    folded = F.regexp_replace(F.lower(_text()), _BLANKS, " ")
+    normal = F.transform(F.split(folded, "\n"), F.trim)
     hashed = F.transform(
         F.filter(normal, lambda x: x != ""),
         lambda x: F.struct(
             line_hash(x).alias("line"),
-            (F.length(x) - F.length(F.translate(x, " ", "")) + 1).alias("n_words"),
+            (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).alias("n_words"),
         ),
     )
     rows = documents.select(
@@ -258,10 +255,7 @@ WITH docs AS (
         FROM (
             SELECT source, doc_id, trim(regexp_replace(x, '[\x20\x09-\x0D]+', ' ', 'g')) AS x
             FROM (
-                SELECT source, doc_id, unnest(string_split(
-                    translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}'),
-                    chr(10))) AS x
-                FROM docs
+                SELECT source, doc_id, unnest(string_split(lower(text), chr(10))) AS x FROM docs
             )
         ) WHERE x <> ''
     ) WINDOW d AS (PARTITION BY doc_id)
