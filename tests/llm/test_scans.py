@@ -1,0 +1,234 @@
+"""Licence scan, quality rules, line chunks and URL verdicts: SQL and plain versions."""
+
+import math
+import random
+from collections import Counter, defaultdict
+
+import duckdb
+import pytest
+from playpulse.llm import license_scan, line_chunks, line_quality, queries, url_filter
+from playpulse.llm.license_scan import Automaton
+
+import __spark_entry__ as registry
+
+from .conftest import words_of
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def con():
+    con = duckdb.connect()
+    for table in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
+    return con
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_sql(spark, con, name):
+    rows = registry.queries()[name](spark, SF_DIR)
+    cursor = con.execute(queries.ORACLE[name])
+    names = [c[0] for c in cursor.description]
+    assert sorted(names) == sorted(rows.columns)
+    want = sorted(tuple(r[names.index(c)] for c in rows.columns) for r in cursor.fetchall())
+    assert sorted(tuple(r) for r in rows.collect()) == want
+
+
+# Licences.
+
+
+def test_templates_accept_their_wording_and_nothing_less(docs_of):
+    mit = license_scan.TEMPLATES["MIT"][-1]
+    bsd = license_scan.TEMPLATES["BSD"][0]
+    plain = bsd.replace("[[", "").replace("]]", "").replace("{{12}}", "the Example Project")
+    texts = [
+        "x " + mit.replace("[[", "").replace("]]", "").upper() + " y",
+        mit.split("[[")[0] + mit.split("]]")[1].split("[[")[0],
+        mit.replace("[[", "").replace("]]", "").replace("hereby", "herewith"),
+        plain,
+        bsd.split("[[[[")[0].replace("[[", "").replace("]]", ""),
+        "Copyright (c) 2020 Ann Other. All rights reserved.",
+        "Copyright " + "name " * 9 + "all rights reserved",
+        "the MIT license and the mit License; CC-BY, cc by",
+    ]
+    found = license_scan.summary(license_scan.licenses(docs_of(list(enumerate(texts)))))
+    got = {r.doc_id: r.labels for r in found.collect()}
+    assert got == {
+        0: "MIT", 1: "MIT", 2: "", 3: "BSD", 4: "BSD", 5: "all-rights-reserved", 6: "", 7: "cc-by,mit",
+    }
+    row = found.where("doc_id = 7").first()
+    assert (row.n_base, row.first_word, row.last_word, row.score) == (4, 1, 9, 0.5)
+
+
+def test_automata_are_their_expressions(docs_of):
+    import re
+
+    rng = random.Random(4)
+    template = "a [[b [[c]]]] {{2}} d [[e]] [[f]]"
+    automaton = Automaton.compile(template)
+    texts = [" ".join(rng.choices("abcdefg", k=rng.randint(0, 12))) for _ in range(400)]
+    rows = docs_of(list(enumerate(texts)))
+    found = license_scan.licenses(rows, phrases={}, templates={"t": [template]}).collect()
+    for r in found:
+        joined = " " + texts[r.doc_id].replace(" ", " ") + " "
+        assert bool(r.found) == bool(re.search(" " + automaton.regex(), joined)), texts[r.doc_id]
+    with pytest.raises(ValueError):
+        Automaton.compile("[[a]] b")
+
+
+def test_license_awkward_rows(awkward, no_rows):
+    got = license_scan.summary(license_scan.licenses(awkward)).collect()
+    assert len(got) == 11 and all(r.n_base == 0 and r.labels == "" and r.score == 0 for r in got)
+    assert license_scan.licenses(no_rows).count() == 0
+
+
+# Quality rules.
+
+
+def test_common_lines_deplete_documents_but_copies_do_not(docs_of):
+    rng = random.Random(2)
+
+    def line(n):
+        return " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+
+    header, rows = line(60), []
+    for i in range(300):
+        rows.append((i, header + "\n" + line(30) + "\n" + line(35), "a"))  # 48 % is its own
+    for i in range(300, 500):
+        rows.append((i, header + "\n" + line(90), "a"))
+    page = line(40) + "\n" + line(40)
+    rows += [(i, page, "a") for i in range(500, 700)]
+    rows += [(700, header + "\n" + line(20), "b")]
+    judged = {r.doc_id: r for r in line_quality.judge(docs_of(rows)).collect()}
+    assert judged[0].words_removed == 60 and judged[0].kept
+    assert judged[400].words_removed == 60 and judged[400].kept
+    assert all(judged[i].words_removed == 0 and judged[i].kept for i in range(500, 700))
+    assert judged[700].words_removed == 0
+    short = [(i, header + "\n" + line(15), "a") for i in range(200)]
+    assert not any(r.kept for r in line_quality.judge(docs_of(short)).collect())
+    assert line_quality.keep_good(docs_of(rows)).count() == 701
+
+
+def test_quality_awkward_rows(awkward, no_rows):
+    got = {r.doc_id: r for r in line_quality.judge(awkward).collect()}
+    assert got[1].n_words == 0 and got[1].base_failed and not got[1].kept
+    assert got[9].n_words == 1 and got[9].word_chars == 3000
+    assert got[5].n_words == 150_000 and got[5].n_repeat_words == 150_000
+    assert line_quality.judge(awkward).count() == 11
+    assert line_quality.keep_good(no_rows).count() == 0
+
+
+# Line chunks.
+
+
+def test_a_passage_is_removed_wherever_it_stands(docs_of):
+    rng = random.Random(6)
+
+    def line(n=8):
+        return " ".join(f"u{rng.randrange(10**9)}" for _ in range(n))
+
+    passage = [line() for _ in range(20)]
+    long = line(60)
+    rows = []
+    for i in range(40):
+        own = [line() for _ in range(rng.randint(1, 9))]
+        at = rng.randint(0, len(own))
+        rows.append((i, "\n".join(own[:at] + passage + own[at:])))
+    rows += [(i, "\n".join([line(), long, line()])) for i in range(40, 60)]
+    rows += [(i, "\n".join(line() for _ in range(12))) for i in range(60, 80)]
+    got = {r.doc_id: r for r in line_chunks.dedup_lines(docs_of(rows)).collect()}
+    assert got[0].n_removed == 0 and got[40].n_removed == 0
+    # The first boundary lies a few lines into the passage; all that follows it goes.
+    assert all(got[i].n_removed >= 10 for i in range(1, 40))
+    assert all(got[i].n_removed == 1 and long not in got[i].text for i in range(41, 60))
+    assert all(got[i].n_removed == 0 and got[i].text == rows[i][1] for i in range(60, 80))
+
+
+def test_line_awkward_rows(awkward, no_rows):
+    got = [r for r in line_chunks.dedup_lines(awkward).collect()]
+    texts = {r.doc_id: r.text for r in got}
+    assert len(got) == 11 and texts[1] is None and texts[2] == "" and texts[4] == "one"
+    # Equal rows are one document; both keep the first place of what they share.
+    assert sum(r.doc_id == 5 and r.n_removed == 0 for r in got) == 2
+    assert line_chunks.dedup_lines(no_rows).count() == 0
+    assert set(awkward.columns) < set(line_chunks.dedup_lines(awkward).columns)
+
+
+# URLs.
+
+
+
+
+def test_urls_by_rules(spark):
+    rows = [
+        (1, "http://a.example.net/en/1", "a.example.net", "/en/1", "example.net/en/", "allow"),
+        (2, "http://example.net/de/1", "example.net", "/de/1", "net/", "block"),
+        (3, "https://X.Example.COM/de/?q=/en/", "x.example.com", "/de/", "example.com/de/", "block"),
+        (4, "http://w.org/fr/x#y", "w.org", "/fr/x", "org/fr/", "allow"),
+        (5, "http://notexample.net", "notexample.net", "", None, None),
+        (6, "http://fakeorg/fr/", "fakeorg", "/fr/", None, None),
+        (7, "no scheme.net/en/", "", "", None, None),
+        (8, None, "", "", None, None),
+        (9, "", "", "", None, None),
+        (10, "x://?a", "", "", None, None),
+        (11, "http://a.example.net/en/1", "a.example.net", "/en/1", "example.net/en/", "allow"),
+    ]
+    pages = spark.createDataFrame([(r[0], r[1], 1.0) for r in rows], "page_id long, url string, score double")
+    got = {r.page_id: r for r in url_filter.verdicts(pages).collect()}
+    for page_id, _, host, path, rule, verdict in rows:
+        r = got[page_id]
+        assert (r.host, r.path, r.rule) == (host, path, rule)
+        assert r.verdict == verdict if verdict else r.verdict in ("allow", "block")
+    assert got[8].verdict == "allow"
+    assert url_filter.verdicts(pages.limit(0)).count() == 0
+
+
+def test_url_chances_are_witten_bell(spark):
+    """The joined chances equal the recursive definition, for every sequence."""
+    texts = ["abab", "abba", "cab", "aa", "bca"]
+    rows = [(t, i % 3, (i + 1) % 2) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "s string, yes long, no long")
+    order = 3
+    grams = url_filter._grams(df, order)
+    counts = grams.groupBy("g").sum("yes", "no").toDF("g", "yes", "no")
+    got = {r.g: r.ratio for r in url_filter._chances(grams.select("g").distinct(), counts, order).collect()}
+    count = [defaultdict(Counter), defaultdict(Counter)]
+    letters = set()
+    for s, *both in rows:
+        padded = "\x02" * order + s + "\x03"
+        for i in range(order, len(padded)):
+            letters.add(padded[i])
+            for k in range(order + 1):
+                for side, n in enumerate(both):
+                    count[side][padded[i - k : i]][padded[i]] += n
+
+    def chance(side, context, c):
+        lower = chance(side, context[1:], c) if context else 1 / (len(letters) + 1)
+        seen = count[side][context]
+        n, kinds = sum(seen.values()), sum(v > 0 for v in seen.values())
+        return (seen[c] + kinds * lower) / (n + kinds) if n else lower
+
+    assert len(got) > 10
+    for g, ratio in got.items():
+        want = math.log(chance(0, g[:-1], g[-1])) - math.log(chance(1, g[:-1], g[-1]))
+        assert ratio == pytest.approx(want)
+
+
+def test_url_models_tell_kinds_apart(spark):
+    rng = random.Random(8)
+
+    def url(good):
+        name = "".join(rng.choices("aeioulmnr" if good else "xzqkv0189-", k=9))
+        return name, f"/{'page' if good else 'win-cash'}/{rng.randrange(999)}"
+
+    rows = []
+    for i in range(600):
+        name, path = url(i % 2 == 0)
+        rows.append((i, f"http://{name}.example.net{'/en' if i % 2 == 0 else ''}{path}"))
+    for i in range(600, 700):
+        name, path = url(i % 2 == 0)
+        rows.append((i, f"https://{name}.info{path}"))
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_filter.verdicts(pages).collect()}
+    right = sum(got[i] == ("allow" if i % 2 == 0 else "block") for i in range(600, 700))
+    assert right >= 95
