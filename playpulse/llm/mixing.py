@@ -42,37 +42,32 @@ LIFT = 4.0
 RIDGE = 1e-3
 STEPS = 60
 TOLERANCE = 1e-6
+#: Terms that may be used: marks, and words without signs (signs are told by a mark).
+_PLAIN = r"^(#[a-z]+|[^#*$%&|<>!.,;:]+)$"
 
-_BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+def _words(text: Column) -> Column:
+    """Words between blanks and line feeds, as they stand."""
+    return F.array_remove(F.split(F.replace(text, F.lit("\n"), F.lit(" ")), " "), "")
 
-def _terms(text: Column) -> Column:
-    """Distinct words of a text and marks for its properties."""
-    lower = F.lower(text)
-
-    def of_words(words: Column) -> Column:
-        n = F.greatest(F.size(words), F.lit(1))
-
-        def of_distinct(distinct: Column) -> Column:
-            odd = F.regexp_count(text, F.lit(r"[#*$%&|<>!]"))
-            upper = F.regexp_count(text, F.lit(r"[A-Z]"))
-            marks = [
-                ("#short", n < 50),
-                ("#odd", odd * 5 > n),
-                ("#upper", upper * 3 > F.length(text)),
-                ("#repeats", F.size(distinct) * 3 < n),
-            ]
-            told = F.array(*(F.when(test, F.lit(mark)) for mark, test in marks))
-            return F.concat(distinct, F.array_compact(told))
 
-        return let(F.array_distinct(words), of_distinct)
-
-    return let(F.split(lower, _BREAK), of_words)
+def _terms(text: Column, words: Column) -> Column:
+    """Distinct words of a text and marks for its properties."""
+    n = F.greatest(F.size(words), F.lit(1))
 
+    def of_distinct(distinct: Column) -> Column:
+        odd = F.regexp_count(text, F.lit(r"[#*$%&|<>!]"))
+        upper = F.regexp_count(text, F.lit(r"[A-Z]"))
+        marks = [
+            ("#short", n < 50),
+            ("#odd", odd * 5 > n),
+            ("#upper", upper * 3 > F.length(text)),
+            ("#repeats", F.size(distinct) * 3 < n),
+        ]
+        told = F.array(*(F.when(test, F.lit(mark)) for mark, test in marks))
+        return F.concat(distinct, F.array_compact(told))
 
-def _n_tokens(text: Column) -> Column:
-    """Words of a text, counted by the places where one begins."""
-    return F.regexp_count(text, F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")).cast("long")
+    return let(F.array_distinct(words), of_distinct)
 
 
 @dataclass
@@ -83,7 +78,7 @@ class Classifier:
     base: list[float]
     gains: dict[str, list[float]]
 
-    def posterior(self, text: Column) -> Column:
+    def posterior(self, text: Column, words: Column) -> Column:
         """Chances of the domains, in their order."""
         n = len(self.domains)
         if not self.gains:
@@ -104,12 +99,22 @@ class Classifier:
             powers = F.transform(sums, lambda s: F.exp(s - F.array_max(sums)))
             return let(powers, lambda ps: F.transform(ps, lambda p: p / _sum(ps)))
 
-        hits = F.array_intersect(_terms(text), known)
+        hits = F.array_intersect(_terms(text, words), known)
         # Rounded, so that equal evidence found in another order is the same group.
         found = let(F.transform(F.array_sort(hits), lambda t: F.element_at(gain, t)), of_gains)
         return F.transform(found, lambda p: F.round(p, 9))
 
 
+    def judged(self, text: Column) -> Column:
+        """(n: the text's words, p: its chances), the words split once."""
+        return let(
+            _words(text),
+            lambda words: F.struct(
+                F.size(words).cast("long").alias("n"), self.posterior(text, words).alias("p")
+            ),
+        )
+
+
 def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda total, x: total + x)
 
@@ -129,7 +134,7 @@ def fit_classifier(documents: DataFrame, labels: DataFrame, domains: list[str])
     examples = cut(
         documents.select("doc_id", text.alias("text"))
         .join(F.broadcast(sample), "doc_id")
-        .select("domain", _terms(F.col("text")).alias("terms"))
+        .select("domain", let(_words(F.col("text")), lambda w: _terms(F.col("text"), w)).alias("terms"))
     )
     seen = {r["domain"]: r["n"] for r in examples.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     sizes = [seen.get(d, 0) for d in domains]
@@ -161,6 +166,7 @@ def fit_classifier(documents: DataFrame, labels: DataFrame, domains: list[str])
         counts.where(have < total)
         .withColumn("chi2", F.round(chi2, 6))
         .where((F.col("chi2") > CHI2) & (F.greatest(*lifts) > LIFT))
+        .where(F.col("term").rlike(_PLAIN))
         .orderBy(F.desc("chi2"), "term")
         .limit(MOST_TERMS)
         .collect()
@@ -197,9 +203,6 @@ class Mix:
     reached: list[float]
     targets: list[float]
 
-    def posterior(self, text: Column) -> Column:
-        return self.classifier.posterior(text)
-
     def rate(self, p: Column) -> Column:
         return _rate(p, self.steps, 1 / (1 + RIDGE))
 
@@ -216,10 +219,9 @@ def fit(
     classifier = fit_classifier(documents, labels, domains)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = cut(
-        documents.select("doc_id", F.xxhash64("text").alias("text_hash"), text.alias("text")).select(
-            "doc_id", "text_hash", _n_tokens(F.col("text")).alias("n_tokens"),
-            classifier.posterior(F.col("text")).alias("p"),
-        )
+        documents.select("doc_id", F.xxhash64("text").alias("text_hash"), text.alias("text"))
+        .select("doc_id", "text_hash", classifier.judged(F.col("text")).alias("j"))
+        .select("doc_id", "text_hash", F.col("j.n").alias("n_tokens"), F.col("j.p").alias("p"))
     )
     groups = cut(rows.groupBy("p").agg(F.sum("n_tokens").cast("double").alias("n")))
 
@@ -283,7 +285,7 @@ def mix(
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rate = fitted.rate(F.col("__p"))
     return (
-        documents.withColumn("__p", fitted.posterior(text))
+        documents.withColumn("__p", fitted.classifier.judged(text)["p"])
         .withColumn("__n", copies_of(rate, F.col("doc_id"), F.xxhash64("text")))
         .where("__n > 0")
         .withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("__n"))))
