@@ -14,46 +14,67 @@ WITH ev AS (
     FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
 ),
 players AS (
-    SELECT c_custkey AS player_id, CAST(NULL AS DATE) AS registration_date,
+    SELECT c_custkey AS player_id,
+           CAST(DATE '2023-01-01' + CAST(c_custkey % 365 AS INTEGER) AS DATE) AS registration_date,
            n_name AS country, c_mktsegment AS platform,
-           CAST(NULL AS VARCHAR) AS install_source, CAST(NULL AS VARCHAR) AS device_type,
-           CAST(NULL AS BIGINT) AS player_level
+           CASE c_custkey % 3 WHEN 0 THEN 'organic' WHEN 1 THEN 'ad' ELSE 'referral' END
+               AS install_source,
+           CASE c_custkey % 2 WHEN 0 THEN 'phone' ELSE 'tablet' END AS device_type,
+           CAST(c_custkey % 50 + 1 AS BIGINT) AS player_level
     FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
 ),
 sessions AS (
     SELECT event_id AS session_id, pid AS player_id, ts AS session_start,
-           CAST(NULL AS TIMESTAMP) AS session_end, value AS duration_minutes,
-           CAST(NULL AS BIGINT) AS levels_completed, CAST(NULL AS BIGINT) AS deaths,
-           CAST(NULL AS BIGINT) AS items_collected, CAST(NULL AS BIGINT) AS score,
-           CAST(ts AS DATE) AS session_date
+           ts + to_microseconds(CAST(round(value * 60000000) AS BIGINT)) AS session_end,
+           value AS duration_minutes, CAST(k % 10 AS BIGINT) AS levels_completed,
+           CAST(k % 7 AS BIGINT) AS deaths, CAST(k % 20 AS BIGINT) AS items_collected,
+           CAST(k * 10 AS BIGINT) AS score, CAST(ts AS DATE) AS session_date
     FROM ev
 ),
 purchases AS (
     SELECT event_id AS purchase_id, pid AS player_id, event_id AS session_id,
-           ts AS purchase_time,
-           CASE (k // 10) % 4 WHEN 0 THEN 'currency' WHEN 1 THEN 'powerup'
-                              WHEN 2 THEN 'cosmetic' ELSE 'bundle' END AS item_type,
-           CAST(NULL AS VARCHAR) AS item_name, value AS price_usd,
-           CAST(NULL AS VARCHAR) AS currency, CAST(NULL AS VARCHAR) AS platform,
+           ts AS purchase_time, item_type, item_type || ' ' || k % 10 AS item_name,
+           value AS price_usd, CASE k % 2 WHEN 0 THEN 'USD' ELSE 'EUR' END AS currency,
+           CASE k % 3 WHEN 0 THEN 'iOS' WHEN 1 THEN 'Android' ELSE 'Web' END AS platform,
            CAST(ts AS DATE) AS purchase_date
-    FROM ev WHERE event_type = 'purchase'
+    FROM (SELECT *, CASE (k // 10) % 4 WHEN 0 THEN 'currency' WHEN 1 THEN 'powerup'
+                                       WHEN 2 THEN 'cosmetic' ELSE 'bundle' END AS item_type
+          FROM ev WHERE event_type = 'purchase')
 )
 """
 
-# Session-length buckets as (label, from, below), in minutes.
-BUCKETS = """(VALUES ('0-5 min', -1e300, 5.0), ('5-15 min', 5.0, 15.0), ('15-30 min', 15.0, 30.0),
-                     ('30-60 min', 30.0, 60.0), ('60+ min', 60.0, 1e300)) AS b(label, low, high)"""
+# Upper bounds of the session-length buckets, in minutes.
+EDGES = (5, 15, 30, 60)
 RETURN_DAYS = (1, 3, 7)
 
 
 def exact(column: str) -> str:
-    return f"CAST(SUM(CAST({column} AS DECIMAL(12,2))) AS DOUBLE)"
+    """SUM that does not depend on the order of the rows, as DOUBLE.
+
+    Six decimals are summed as DECIMAL and what they leave as DOUBLE; so are values that are
+    infinite, undefined or too large for that.
+    """
+    small = f"isfinite({column}) AND abs({column}) < 1e9"
+    decimal = f"CAST({column} AS DECIMAL(18,6))"
+    return (
+        f"(CAST(COALESCE(SUM(CASE WHEN {small} THEN {decimal} END), 0) AS DOUBLE)"
+        f" + SUM(CASE WHEN {small} THEN {column} - CAST({decimal} AS DOUBLE) ELSE {column} END))"
+    )
 
 
 def mean(column: str) -> str:
     return f"{exact(column)} / NULLIF(COUNT({column}), 0)"
 
 
+def bucket(minutes: str) -> str:
+    """The first bucket whose upper bound lies above; what no bound lies above goes to the last."""
+    lows = (0, *EDGES)
+    cases = " ".join(
+        f"WHEN {minutes} < {high} THEN '{low}-{high} min'" for low, high in zip(lows, EDGES)
+    )
+    return f"CASE {cases} ELSE '{EDGES[-1]}+ min' END"
+
+
 def bodies(lo: str, hi: str, platforms: list[str] | None, retention: tuple[str, str]) -> dict[str, str]:
     """Query name -> SELECT over players / sessions / purchases for one filter setting."""
     if platforms is None:
@@ -83,10 +104,8 @@ def bodies(lo: str, hi: str, platforms: list[str] | None, retention: tuple[str,
     conversion = f"COALESCE(CAST({payers} AS DOUBLE) / NULLIF({active}, 0) * 100, 0)"
 
     durations = f"""
-        SELECT b.label AS duration_bucket, COUNT(*) AS sessions
-        FROM {visits} v JOIN {BUCKETS}
-          ON COALESCE(v.duration_minutes, 60.0) >= b.low AND COALESCE(v.duration_minutes, 60.0) < b.high
-        GROUP BY b.label"""
+        SELECT {bucket("duration_minutes")} AS duration_bucket, COUNT(*) AS sessions
+        FROM {visits} GROUP BY duration_bucket"""
 
     fanned = f"""
         SELECT home AS platform, COUNT(DISTINCT player_id) AS players,
@@ -109,6 +128,8 @@ def bodies(lo: str, hi: str, platforms: list[str] | None, retention: tuple[str,
 
     def share(report: str, group: str, value: str, kind: str) -> str:
         whole = f"CAST(SUM(CAST({value} AS {kind})) OVER () AS DOUBLE)"
+        if kind == "DOUBLE":
+            whole = f"(SELECT {exact(value)} FROM ({report}))"
         return f"""SELECT {group}, {value},
             CASE WHEN {whole} > 0 THEN {value} * 100.0::DOUBLE / {whole} ELSE 0.0::DOUBLE END AS share_pct
             FROM ({report})"""
@@ -116,18 +137,15 @@ def bodies(lo: str, hi: str, platforms: list[str] | None, retention: tuple[str,
     first_days = "SELECT player_id, MIN(session_date) AS first_session_date FROM sessions GROUP BY player_id"
     from_day, to_day = retention
     came_back = ", ".join(
-        f"SUM(CASE WHEN back_{n} THEN 1 ELSE 0 END)::BIGINT AS d{n}_retained" for n in RETURN_DAYS
-    )
-    flags = ", ".join(
-        f"""EXISTS (SELECT 1 FROM sessions again WHERE again.player_id = f.player_id
-            AND again.session_date = f.first_session_date + {n}) AS back_{n}"""
+        f"""COUNT(DISTINCT CASE WHEN s.session_date = f.first_session_date + {n}
+            THEN f.player_id END) AS d{n}_retained"""
         for n in RETURN_DAYS
     )
     cohorts = f"""
-        SELECT first_session_date, COUNT(player_id) AS cohort_size, {came_back}
-        FROM (SELECT f.player_id, f.first_session_date, {flags} FROM ({first_days}) f)
-        WHERE first_session_date BETWEEN DATE '{from_day}' AND DATE '{to_day}'
-        GROUP BY first_session_date"""
+        SELECT f.first_session_date, COUNT(DISTINCT f.player_id) AS cohort_size, {came_back}
+        FROM ({first_days}) f LEFT JOIN sessions s USING (player_id)
+        WHERE f.first_session_date BETWEEN DATE '{from_day}' AND DATE '{to_day}'
+        GROUP BY f.first_session_date"""
     rates = ", ".join(
         f"ROUND(d{n}_retained * 100.0::DOUBLE / NULLIF(cohort_size, 0), 2) AS d{n}_retention_pct"
         for n in RETURN_DAYS
@@ -148,7 +166,7 @@ def bodies(lo: str, hi: str, platforms: list[str] | None, retention: tuple[str,
         "empty_table_check": """SELECT 'sessions' AS table_name, COUNT(*) AS n_rows, COUNT(*) = 0 AS is_empty FROM sessions
             UNION ALL SELECT 'purchases', COUNT(*), COUNT(*) = 0 FROM purchases""",
         "date_bounds": "SELECT MIN(session_date) AS min_date, MAX(session_date) AS max_date FROM sessions",
-        "platform_options": "SELECT platform FROM players GROUP BY platform ORDER BY platform NULLS LAST",
+        "platform_options": "SELECT DISTINCT platform FROM players ORDER BY platform NULLS LAST",
         "filtered_sessions": f"""SELECT session_id, player_id, session_date, duration_minutes, country,
             home AS platform FROM {visits}""",
         "filtered_purchases": f"""SELECT purchase_id, player_id, purchase_date, item_type, price_usd, country,
@@ -182,7 +200,14 @@ def bodies(lo: str, hi: str, platforms: list[str] | None, retention: tuple[str,
         "platform_metrics_dedup": separate + " ORDER BY revenue DESC NULLS LAST, platform NULLS LAST",
         "platform_share": share(fanned, "platform", "players", "BIGINT"),
         "platform_share_sessions": share(fanned, "platform", "sessions", "BIGINT"),
-        "platform_share_revenue": share(fanned, "platform", "revenue", "DECIMAL(30,2)"),
+        "platform_shares": f"""SELECT a.platform, players, a.share_pct AS players_pct, sessions,
+            b.share_pct AS sessions_pct, revenue, c.share_pct AS revenue_pct
+            FROM ({share(fanned, "platform", "players", "BIGINT")}) a
+            JOIN ({share(fanned, "platform", "sessions", "BIGINT")}) b
+              ON a.platform IS NOT DISTINCT FROM b.platform
+            JOIN ({share(fanned, "platform", "revenue", "DOUBLE")}) c
+              ON a.platform IS NOT DISTINCT FROM c.platform""",
+        "platform_share_revenue": share(fanned, "platform", "revenue", "DOUBLE"),
         "player_first_day": first_days,
         "retention_counts": cohorts + " ORDER BY first_session_date",
         "retention": f"SELECT first_session_date, cohort_size, {rates} FROM ({cohorts}) ORDER BY first_session_date",

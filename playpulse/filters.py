@@ -10,6 +10,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def date_literal(value: date) -> Column:
+    """A DATE constant for any year from 1 to 9999; a Python date goes wrong before 1000."""
+    return F.lit(value.isoformat()).cast("date")
+
+
 def _as_date(value: date | str | None, which: str) -> date:
     if value is None:
         raise ValueError(f"{which} is missing: a date range needs both bounds")
@@ -25,7 +30,8 @@ class PlayerFilter:
     """Dates are inclusive at both ends; a lower bound past the upper one selects nothing.
 
     ``platforms=None`` means every platform (players without one included),
-    an empty collection means no platform, hence no rows.
+    an empty collection means no platform, hence no rows. Of a ``datetime`` only the date
+    counts.
     """
 
     date_from: date
@@ -46,7 +52,7 @@ class PlayerFilter:
 
     def in_range(self, day: str) -> Column:
         """Predicate on a date column, as literals the file scan can prune on."""
-        return F.col(day).between(F.lit(self.date_from), F.lit(self.date_to))
+        return F.col(day).between(date_literal(self.date_from), date_literal(self.date_to))
 
     def on_platform(self, platform: str = "platform") -> Column:
         """Predicate on the *player's* platform; purchases carry their own, which is not used."""

@@ -1,66 +1,38 @@
-"""Which days of a range a player was active, as bits of a few BIGINT columns.
+"""Which days a player was active, as bits: one BIGINT for each player and 64-day block.
 
-A set of (player, day) pairs needs one row per pair in every shuffle. Packed
-64 days to a word it is one short fixed-width row per player: Spark folds it
-map-side with ``bit_or``, inside generated code, and it travels once.
+A set of (player, day) pairs needs one row per pair in every shuffle. Packed 64 days to a
+row it is one short row per player and block in which the player was active: Spark folds it
+map-side with ``bit_or``, inside generated code. Blocks count from 1970-01-01, so any range
+of dates takes the same path, and costs what its active blocks cost.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from datetime import date
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WORD = 64
-# Sixteen words, close to three years. Wider ranges go through (player, day) pairs.
-MAX_DAYS = 16 * WORD
+BLOCK_DAYS = 64
 
 
-@dataclass(frozen=True)
-class DayBits:
-    first: date
-    n_days: int
+def block_of(day: Column) -> Column:
+    """Number of the block a date lies in; negative before 1970."""
+    return F.floor(F.unix_date(day) / BLOCK_DAYS).cast("int")
 
-    @classmethod
-    def between(cls, first: date, last: date) -> DayBits | None:
-        """Bits for an inclusive range, or None when it is too wide to pack."""
-        n_days = max((last - first).days + 1, 1)
-        return cls(first, n_days) if n_days <= MAX_DAYS else None
 
-    @property
-    def columns(self) -> list[str]:
-        return [f"day_bits_{i}" for i in range((self.n_days + WORD - 1) // WORD)]
+def bit_of(day: Column) -> Column:
+    """Place of a date in its block, 0 to 63."""
+    return F.pmod(F.unix_date(day), F.lit(BLOCK_DAYS))
 
-    def offset(self, day: str) -> Column:
-        return F.datediff(F.col(day), F.lit(self.first))
 
-    def aggregates(self, day: str) -> list[Column]:
-        """One ``bit_or`` per word; days outside the range set no bit."""
-        one, offset = F.lit(1).cast("bigint"), self.offset(day)
-        words = []
-        for i, name in enumerate(self.columns):
-            low = i * WORD
-            bit = F.call_function("shiftleft", one, offset - F.lit(low))
-            inside = offset.between(low, min(low + WORD, self.n_days) - 1)
-            words.append(F.coalesce(F.bit_or(F.when(inside, bit)), F.lit(0)).alias(name))
-        return words
+def active_bits(day: Column) -> Column:
+    """Aggregate of a block: a bit for every day that occurs."""
+    return F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit_of(day)))
 
-    def contains(self, offset: Column) -> Column:
-        """Is the day ``offset`` days after the first one set? The offset must lie in the range."""
-        names = self.columns
-        if len(names) == 1:
-            return F.getbit(F.col(names[0]), offset) == 1
-        word = F.element_at(F.array(*names), (offset / F.lit(WORD)).cast("int") + 1)
-        return F.getbit(word, F.pmod(offset, F.lit(WORD))) == 1
 
-    def unpack(self, df: DataFrame, day: str) -> DataFrame:
-        """One row per set bit, with its date in ``day``; nothing is shuffled."""
-        words = df.select(F.posexplode(F.array(*self.columns)).alias("word", "bits"))
-        bits = words.filter(F.col("bits") != 0).select(
-            "word", "bits", F.explode(F.sequence(F.lit(0), F.lit(WORD - 1))).alias("bit")
-        )
-        return bits.filter(F.getbit("bits", F.col("bit")) == 1).select(
-            F.date_add(F.lit(self.first), F.col("word") * WORD + F.col("bit")).alias(day)
-        )
+def unpack(df: DataFrame, block: str, bits: str, day: str) -> DataFrame:
+    """One row per set bit, with its date in ``day``; nothing is shuffled."""
+    places = F.sequence(F.lit(0), F.lit(BLOCK_DAYS - 1))
+    set_places = F.filter(places, lambda i: F.getbit(bits, i) == 1)
+    return df.select(block, F.explode(set_places).alias("place")).select(
+        F.date_from_unix_date(F.col(block) * BLOCK_DAYS + F.col("place")).alias(day)
+    )

@@ -4,30 +4,79 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MICRO = Decimal("0.000001")
+#: Amounts from here on are summed as DOUBLE, so that no BIGINT sum can overflow.
+_PARTS_BELOW = 1e9
 
 
-def exact_sum(df: DataFrame, name: str) -> Column:
-    """SUM of a numeric column that does not depend on the order of the rows.
+def _split(value: Column, kind: T.DataType) -> dict[str, Column]:
+    """A number as whole units, millionths, millionths of those, and a DOUBLE for the rest.
 
-    Floating-point sums change with the shuffle. Summing DECIMALs does not, but
-    costs several times the rest of the scan. Here a fractional value is split
-    into its whole part and its millionths, both are summed as BIGINT in
-    generated code, and the two sums are put together once per group.
+    The rest is 0 where the three BIGINT parts give back the very same DOUBLE, as they do
+    for amounts of up to twelve decimals. Otherwise it is what they miss: smaller digits,
+    or the whole of a large, infinite or undefined value. Nothing is rounded away.
     """
-    kind = df.schema[name].dataType
-    value = F.col(name)
+    zero = F.lit(0).cast("bigint")
     if isinstance(kind, T.IntegralType):
-        return F.sum(value.cast("bigint"))
-    if isinstance(kind, T.DecimalType):
-        return F.sum(value)
-    whole = F.floor(value)
-    millionths = F.rint((value - whole) * F.lit(1e6)).cast("bigint")
-    return wide(F.sum(whole)) + wide(F.sum(millionths)) * F.lit(MICRO)
+        none = F.when(value.isNotNull(), zero)
+        return {"whole": value.cast("bigint"), "micro": none, "pico": none, "rest": none.cast("double")}
+    value = value.cast("double")
+    small = F.abs(value) < F.lit(_PARTS_BELOW)  # false for NaN, which is above all numbers
+    held = F.when(small, value).otherwise(F.when(value.isNotNull(), F.lit(0.0)))
+    whole = F.floor(held)
+    micro = F.rint((held - whole) * 1e6).cast("bigint")
+    pico = F.rint(((held - whole) - micro / F.lit(1e6)) * 1e12).cast("bigint")
+    back = whole + (micro * 1_000_000 + pico) / F.lit(1e12)
+    return {
+        "whole": whole,
+        "micro": micro,
+        "pico": pico,
+        "rest": F.when(small, F.when(back == value, F.lit(0.0)).otherwise(value - back)).otherwise(value),
+    }
+
+
+def _names(name: str) -> list[str]:
+    return [f"{name}_{part}" for part in ("whole", "micro", "pico", "rest")]
+
+
+def sum_parts(df: DataFrame, source: str, name: str) -> list[Column]:
+    """Aggregates that hold SUM(source) in four columns, to be summed on and put together later.
+
+    Floating-point sums change with the order of the rows, and DECIMAL sums cost several
+    times the rest of a scan. BIGINT sums are exact and stay in generated code.
+    """
+    parts = _split(F.col(source), df.schema[source].dataType)
+    return [F.sum(part).alias(f"{name}_{key}") for key, part in parts.items()]
+
+
+def _together(whole: Column, micro: Column, pico: Column, rest: Column) -> Column:
+    """DOUBLE of the four sums. With no more than six decimals it is rounded only once."""
+    return (whole + micro * F.lit(MICRO)).cast("double") + (pico.cast("double") / 1e12 + rest)
+
+
+def sum_of_parts(name: str, times: Column | None = None) -> Column:
+    """The last aggregate over the columns of ``sum_parts``; each row counts ``times`` times."""
+    whole, micro, pico, rest = (F.col(c) for c in _names(name))
+    if times is None:
+        return _together(*(wide(F.sum(c)) for c in (whole, micro, pico)), F.sum(rest))
+    exact = (F.sum(wide(c) * times) for c in (whole, micro, pico))
+    return _together(*exact, F.sum(rest * times.cast("double")))
+
+
+def exact_sum(df: DataFrame, name: str, over: WindowSpec | None = None) -> Column:
+    """SUM of a numeric column as DOUBLE, not dependent on the order of the rows.
+
+    NaN and infinite values give what a DOUBLE SUM gives; without values it is NULL.
+    """
+    parts = _split(F.col(name), df.schema[name].dataType)
+    sums = {key: F.sum(part) for key, part in parts.items()}
+    if over is not None:
+        sums = {key: total.over(over) for key, total in sums.items()}
+    return _together(*(wide(sums[key]) for key in ("whole", "micro", "pico")), sums["rest"])
 
 
 def wide(value: Column) -> Column:

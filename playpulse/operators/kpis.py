@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playpulse.filters import PlayerFilter
-from playpulse.functions.numbers import ratio, zero_if_null
+from playpulse.functions.numbers import ratio, sum_of_parts, zero_if_null
 from playpulse.plans.rollups import (
     KEY,
     activity_rollup,
@@ -33,7 +33,7 @@ def _conversion() -> Column:
 
 
 def _revenue() -> Column:
-    return zero_if_null(F.sum("revenue"))
+    return zero_if_null(sum_of_parts("revenue"))
 
 
 def _count(name: str) -> Column:

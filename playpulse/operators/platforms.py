@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playpulse.filters import PlayerFilter
-from playpulse.functions.numbers import wide, zero_if_null
+from playpulse.functions.numbers import sum_of_parts, wide, zero_if_null
 from playpulse.plans.rollups import KEY, activity_rollup, sessions_in_range
 from playpulse.schema import Tables
 
@@ -16,54 +18,101 @@ def _at_least_one(count: str) -> Column:
     return wide(F.greatest(F.coalesce(F.col(count), F.lit(0)), F.lit(1)))
 
 
-def _distinct_sessions(tables: Tables, flt: PlayerFilter) -> DataFrame:
-    """Distinct session ids per platform, exact even where ids repeat or span players.
+def _single_ids(tables: Tables, flt: PlayerFilter) -> tuple[DataFrame, DataFrame]:
+    """(ids of one player each, as rows of that player; ids that several players share).
 
-    Both join inputs come straight from their shuffle so that AQE can split a
-    hot player; copies of one id are dropped map-side before the second shuffle.
+    The raw ids are shuffled once, by id, copies dropped map-side.
     """
+    owners = (
+        sessions_in_range(tables, flt)
+        .filter(F.col("session_id").isNotNull())
+        .groupBy("session_id")
+        .agg(F.min(KEY).alias(KEY), F.max(KEY).alias("other"))
+    )
+    single = owners.filter(F.col(KEY) == F.col("other")).select(KEY)
+    shared = owners.filter(F.col(KEY) != F.col("other")).select("session_id")
+    return single, shared
+
+
+def _shared_sessions(tables: Tables, flt: PlayerFilter, shared: DataFrame) -> DataFrame:
+    """Distinct ids per platform among those that several players share, row by row."""
     ids = sessions_in_range(tables, flt).select(KEY, "session_id")
     players = tables.players.filter(flt.on_platform()).select(KEY, "platform")
     return (
-        ids.join(players, KEY)
-        .groupBy("platform")
-        .agg(F.count_distinct("session_id").alias("sessions"))
+        ids.join(shared, "session_id", "left_semi")
+        .join(players, KEY)
+        .groupBy(F.col("platform").alias("of_platform"))
+        .agg(F.count_distinct("session_id").alias("shared_sessions"))
     )
 
 
-def _platform_report(
-    tables: Tables, flt: PlayerFilter, fan_out: bool, unique_session_ids: bool
+FIGURES = ("players", "sessions", "avg_duration", "revenue")
+
+
+def platform_figures(
+    tables: Tables,
+    flt: PlayerFilter,
+    figures: Sequence[str] = FIGURES,
+    *,
+    fan_out: bool = True,
+    unique_session_ids: bool = False,
 ) -> DataFrame:
-    players = (
-        tables.players.filter(flt.on_platform())
+    """The chosen columns of the platform comparison, unsorted; only what they need is read.
+
+    The dimension is shuffled once, by player: the join's partitioning also serves the
+    grouping by player and platform that follows. Session ids of one player are folded to a
+    count with the rest of the player's activity; ids that several players share are looked
+    up row by row.
+    """
+    players = tables.players.filter(flt.on_platform()).select(KEY, "platform")
+    if set(figures) <= {"players"}:
+        return players.groupBy("platform").agg(F.count_distinct(KEY).alias("players"))
+
+    by_id = "sessions" in figures and not unique_session_ids
+    ids, shared = _single_ids(tables, flt) if by_id else (None, None)
+    activity = activity_rollup(
+        tables,
+        flt,
+        minutes="avg_duration" in figures,
+        purchases=fan_out or "revenue" in figures,
+        ids=ids,
+    )
+    sums = [c for c in activity.columns if c != KEY]
+    per_player = (
+        players.join(activity, KEY, "left")
         .groupBy("platform", KEY)
-        .agg(F.count("*").alias("copies"))
+        .agg(F.count("*").alias("copies"), *[F.max(c).alias(c) for c in sums])
     )
-    per_player = players.join(activity_rollup(tables, flt), KEY, "left")
 
     # Every purchase row meets every session row of its player, so each price
     # counts once per session and each duration once per purchase.
     copies = wide(F.col("copies"))
-    per_price = copies * _at_least_one("sessions") if fan_out else copies
-    per_minute = copies * _at_least_one("purchases") if fan_out else copies
-    minutes = F.sum(F.col("minutes") * per_minute).cast("double")
-    timed = F.sum(F.col("timed") * per_minute).cast("double")
-    report = per_player.groupBy("platform").agg(
-        F.count(KEY).alias("players"),
-        F.coalesce(F.sum("sessions"), F.lit(0)).alias("session_rows"),
-        F.try_divide(minutes, timed).alias("avg_duration"),
-        zero_if_null(F.sum(F.col("revenue") * per_price)).alias("revenue"),
-    )
-    if unique_session_ids:
-        counted = report.withColumnRenamed("session_rows", "sessions")
-    else:
-        distinct = _distinct_sessions(tables, flt).withColumnRenamed("platform", "of_platform")
-        counted = report.join(
-            distinct, F.col("platform").eqNullSafe(F.col("of_platform")), "left"
-        ).withColumn("sessions", F.coalesce("sessions", F.lit(0)))
-    return counted.select("platform", "players", "sessions", "avg_duration", "revenue").orderBy(
-        F.desc_nulls_last("revenue"), F.asc_nulls_last("platform")
+    found = {"players": F.count(KEY)}
+    if "sessions" in figures:
+        found["sessions"] = F.coalesce(F.sum("ids" if by_id else "sessions"), F.lit(0))
+    if "avg_duration" in figures:
+        per_minute = copies * _at_least_one("purchases") if fan_out else copies
+        timed = F.sum(F.col("timed") * per_minute).cast("double")
+        found["avg_duration"] = F.try_divide(sum_of_parts("minutes", per_minute), timed)
+    if "revenue" in figures:
+        per_price = copies * _at_least_one("sessions") if fan_out else copies
+        found["revenue"] = zero_if_null(sum_of_parts("revenue", per_price))
+    report = per_player.groupBy("platform").agg(*[c.alias(n) for n, c in found.items()])
+    if by_id:
+        several = _shared_sessions(tables, flt, shared)
+        report = report.join(
+            several, F.col("platform").eqNullSafe(F.col("of_platform")), "left"
+        ).withColumn("sessions", F.col("sessions") + F.coalesce("shared_sessions", F.lit(0)))
+    return report.select("platform", *figures)
+
+
+def _platform_report(
+    tables: Tables, flt: PlayerFilter, fan_out: bool, unique_session_ids: bool
+) -> DataFrame:
+    report = platform_figures(
+        tables, flt, fan_out=fan_out, unique_session_ids=unique_session_ids
     )
+    return report.orderBy(F.desc_nulls_last("revenue"), F.asc_nulls_last("platform"))
 
 
 def platform_metrics(

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import timedelta
+from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playpulse.filters import PlayerFilter
-from playpulse.functions.day_bits import DayBits
+from playpulse.filters import PlayerFilter, date_literal
+from playpulse.functions.day_bits import BLOCK_DAYS, active_bits, block_of
 from playpulse.functions.numbers import percent
 from playpulse.plans.rollups import KEY
 from playpulse.schema import Tables
@@ -27,33 +27,38 @@ def _returned(day: int) -> str:
     return f"returned_{day}"
 
 
-def _from_bits(
-    sessions: DataFrame, flt: PlayerFilter, days: Sequence[int], bits: DayBits
-) -> DataFrame:
-    """Per player: first day and return flags, from one pass and one shuffle."""
+def _flags(sessions: DataFrame, flt: PlayerFilter, days: Sequence[int]) -> DataFrame:
+    """Per player: first day and return flags, from one pass over the sessions.
+
+    Days are folded to bits of 64-day blocks, then a player's blocks meet in one row; there
+    are no more of them than the range has. Days before the range only decide the first
+    day, and make one row without a block.
+    """
+    day = F.col("session_date")
+    block = F.when(day >= date_literal(flt.date_from), block_of(day)).alias("block")
+    folded = sessions.groupBy(KEY, block).agg(
+        F.min(day).alias("first"), active_bits(day).alias("bits")
+    )
+    first = F.col("first_session_date")
     per_player = (
-        sessions.groupBy(KEY)
-        .agg(F.min("session_date").alias("first_session_date"), *bits.aggregates("session_date"))
+        folded.groupBy(KEY)
+        .agg(
+            F.min("first").alias("first_session_date"),
+            F.collect_list(F.struct("block", "bits")).alias("blocks"),
+        )
         .filter(flt.in_range("first_session_date"))
     )
-    first = bits.offset("first_session_date")
-    return per_player.select(
-        KEY,
-        "first_session_date",
-        *[bits.contains(first + F.lit(day)).alias(_returned(day)) for day in days],
-    )
 
+    def came_back(n: int) -> Column:
+        # The day as a number, which may lie past the last date there is.
+        at = F.unix_date(first) + n
+        own, bit = F.floor(at / BLOCK_DAYS).cast("int"), F.pmod(at, F.lit(BLOCK_DAYS))
+        return F.exists(
+            "blocks", lambda b: F.coalesce(b["block"] == own, F.lit(False)) & (F.getbit(b["bits"], bit) == 1)
+        )
 
-def _from_pairs(sessions: DataFrame, flt: PlayerFilter, days: Sequence[int]) -> DataFrame:
-    """The same for ranges too wide for bits, from distinct (player, day) pairs."""
-    pairs = sessions.select(KEY, "session_date").distinct()
-    first = F.min("session_date").over(Window.partitionBy(KEY))
-    gap = F.datediff("session_date", "first_session_date")
-    return (
-        pairs.withColumn("first_session_date", first)
-        .filter(flt.in_range("first_session_date"))
-        .groupBy(KEY, "first_session_date")
-        .agg(*[F.bool_or(gap == day).alias(_returned(day)) for day in days])
+    return per_player.select(
+        KEY, "first_session_date", *[came_back(n).alias(_returned(n)) for n in days]
     )
 
 
@@ -69,14 +74,9 @@ def retention_counts(
     """
     if not days or any(day < 0 for day in days):
         raise ValueError("days must be one or more numbers from 0 up")
-    last = flt.date_to + timedelta(days=max(days))
-    sessions = tables.sessions.filter(F.col("session_date") <= F.lit(last))
-    bits = DayBits.between(flt.date_from, last)
-    flags = (
-        _from_pairs(sessions, flt, days)
-        if bits is None
-        else _from_bits(sessions, flt, days, bits)
-    )
+    last = date.fromordinal(min(flt.date_to.toordinal() + max(days), date.max.toordinal()))
+    sessions = tables.sessions.filter(F.col("session_date") <= date_literal(last))
+    flags = _flags(sessions, flt, days)
     # Sessions without a player make a cohort row, but no member of it.
     known = F.col(KEY).isNotNull()
     return (

@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playpulse.filters import PlayerFilter
-from playpulse.functions.day_bits import DayBits
+from playpulse.functions.day_bits import active_bits, block_of, unpack
+from playpulse.functions.numbers import exact_sum
 from playpulse.plans.rollups import (
     KEY,
     joined_to,
-    purchase_rollup,
+    purchases_in_range,
     seen_by,
     sessions_in_range,
 )
@@ -25,12 +26,9 @@ DURATION_EDGES = (5, 15, 30, 60)
 def dau_trend(tables: Tables, flt: PlayerFilter) -> DataFrame:
     """Distinct active players per day. Days without sessions have no row."""
     sessions = sessions_in_range(tables, flt)
-    bits = DayBits.between(flt.date_from, flt.date_to)
-    if bits is None:
-        days = seen_by(sessions.select(KEY, "session_date").distinct(), tables, flt)
-    else:
-        rollup = sessions.groupBy(KEY).agg(*bits.aggregates("session_date"))
-        days = bits.unpack(seen_by(rollup, tables, flt), "session_date")
+    day = F.col("session_date")
+    rollup = sessions.groupBy(KEY, block_of(day).alias("block")).agg(active_bits(day).alias("bits"))
+    days = unpack(seen_by(rollup, tables, flt), "block", "bits", "session_date")
     return (
         days.groupBy("session_date")
         .agg(F.count("*").alias("dau"))
@@ -39,11 +37,17 @@ def dau_trend(tables: Tables, flt: PlayerFilter) -> DataFrame:
 
 
 def revenue_trend(tables: Tables, flt: PlayerFilter) -> DataFrame:
-    """Revenue per day. Days without purchases have no row."""
+    """Revenue per day. Days without purchases have no row.
+
+    Each purchase is shuffled once, by player, and folded by day map-side after the join:
+    with about one purchase per player and day, folding before would move the same rows
+    twice. Both join inputs come straight from their shuffle, so AQE can split a hot player.
+    """
+    bought = purchases_in_range(tables, flt).select(KEY, "purchase_date", "price_usd")
     return (
-        joined_to(purchase_rollup(tables, flt, "purchase_date"), tables, flt)
+        joined_to(bought, tables, flt)
         .groupBy("purchase_date")
-        .agg(F.sum("revenue").cast("double").alias("revenue"))
+        .agg(exact_sum(bought, "price_usd").alias("revenue"))
         .orderBy(F.asc_nulls_last("purchase_date"))
     )
 

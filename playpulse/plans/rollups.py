@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playpulse.filters import PlayerFilter
-from playpulse.functions.numbers import exact_sum
+from playpulse.functions.numbers import sum_parts
 from playpulse.schema import Tables
 
 KEY = "player_id"
@@ -56,34 +56,49 @@ def per_player(rollup: DataFrame, tables: Tables, flt: PlayerFilter) -> DataFram
     return joined.groupBy(KEY).agg(*[F.sum(name).alias(name) for name in figures])
 
 
-def purchase_rollup(tables: Tables, flt: PlayerFilter, *more_keys: str) -> DataFrame:
-    """Per player (and further keys): rows, priced rows and their exact sum."""
+def purchase_rollup(tables: Tables, flt: PlayerFilter) -> DataFrame:
+    """Per player: rows, priced rows and the parts of their sum."""
     purchases = purchases_in_range(tables, flt)
-    return purchases.groupBy(KEY, *more_keys).agg(
+    return purchases.groupBy(KEY).agg(
         F.count("*").alias("purchases"),
         F.count("price_usd").alias("priced"),
-        exact_sum(purchases, "price_usd").alias("revenue"),
+        *sum_parts(purchases, "price_usd", "revenue"),
     )
 
 
-def activity_rollup(tables: Tables, flt: PlayerFilter) -> DataFrame:
+def activity_rollup(
+    tables: Tables,
+    flt: PlayerFilter,
+    *,
+    minutes: bool = True,
+    purchases: bool = True,
+    ids: DataFrame | None = None,
+) -> DataFrame:
     """Both facts of the range folded together, one row per player with any activity.
 
     The facts are stacked and grouped once, so they share one shuffle and need
-    one join to the players instead of two.
+    one join to the players instead of two. ``minutes`` and ``purchases`` can be left out;
+    ``ids`` has a row with the player for each further thing to count as ``ids``.
     """
-    sessions = sessions_in_range(tables, flt).select(
-        KEY, F.lit(1).alias("is_session"), F.col("duration_minutes").alias("minutes")
-    )
-    purchases = purchases_in_range(tables, flt).select(
-        KEY, F.lit(1).alias("is_purchase"), F.col("price_usd").alias("price")
-    )
-    activity = sessions.unionByName(purchases, allowMissingColumns=True)
-    return activity.groupBy(KEY).agg(
-        F.count("is_session").alias("sessions"),
-        exact_sum(activity, "minutes").alias("minutes"),
-        F.count("minutes").alias("timed"),
-        F.count("is_purchase").alias("purchases"),
-        exact_sum(activity, "price").alias("revenue"),
-        F.count("price").alias("priced"),
-    )
+    timed = [F.col("duration_minutes").alias("minutes")] if minutes else []
+    activity = sessions_in_range(tables, flt).select(KEY, F.lit(1).alias("is_session"), *timed)
+    if purchases:
+        bought = purchases_in_range(tables, flt).select(
+            KEY, F.lit(1).alias("is_purchase"), F.col("price_usd").alias("price")
+        )
+        activity = activity.unionByName(bought, allowMissingColumns=True)
+    if ids is not None:
+        counted = ids.select(KEY, F.lit(1).alias("is_id"))
+        activity = activity.unionByName(counted, allowMissingColumns=True)
+    figures = [F.count("is_session").alias("sessions")]
+    if minutes:
+        figures += [*sum_parts(activity, "minutes", "minutes"), F.count("minutes").alias("timed")]
+    if purchases:
+        figures += [
+            F.count("is_purchase").alias("purchases"),
+            *sum_parts(activity, "price", "revenue"),
+            F.count("price").alias("priced"),
+        ]
+    if ids is not None:
+        figures.append(F.count("is_id").alias("ids"))
+    return activity.groupBy(KEY).agg(*figures)

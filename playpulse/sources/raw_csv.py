@@ -19,16 +19,17 @@ def read_csv(
     schema: T.StructType | None = None,
     *,
     multiline: bool = False,
+    sep: str = ",",
 ) -> DataFrame:
     """Scan one headed CSV table; without a schema the types are inferred.
 
     With a schema the header is checked against it and a malformed number
     raises. Inference costs one more pass over the files; times are taken as
     written, without a zone. ``multiline`` allows line breaks inside quoted
-    fields, at the price of unsplittable files.
+    fields, at the price of unsplittable files. ``sep`` separates the fields.
     """
     reader = spark.read.options(
-        **_FORMAT, multiLine=multiline, mode="FAILFAST", enforceSchema=False
+        **_FORMAT, sep=sep, multiLine=multiline, mode="FAILFAST", enforceSchema=False
     )
     if schema is None:
         inferred = reader.option("inferSchema", True).csv(path).schema
@@ -45,13 +46,17 @@ def read_csv(
 
 
 def read_raw(
-    spark: SparkSession, path: str, *, infer: bool = False, multiline: bool = False
+    spark: SparkSession, path: str, *, infer: bool = False, multiline: bool = False, sep: str = ","
 ) -> Tables:
     """The three raw tables under ``path``: players.csv, sessions.csv and purchases.csv."""
     return Tables(
         **{
             name: read_csv(
-                spark, f"{path}/{name}.csv", None if infer else schema, multiline=multiline
+                spark,
+                f"{path}/{name}.csv",
+                None if infer else schema,
+                multiline=multiline,
+                sep=sep,
             )
             for name, schema in RAW_SCHEMAS.items()
         }

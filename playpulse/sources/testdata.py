@@ -24,8 +24,10 @@ _EVENTS = (
 )
 
 
-def _no_source(kind: str, *names: str) -> list[Column]:
-    return [F.lit(None).cast(kind).alias(name) for name in names]
+def _choice(number: Column, *values: str) -> Column:
+    """One of the values by a number's remainder."""
+    at = (number % len(values)).cast("int") + 1
+    return F.element_at(F.array(*[F.lit(v) for v in values]), at)
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> Tables:
@@ -37,35 +39,43 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> Tables:
         .withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     )
 
+    key, k = F.col("c_custkey"), F.col("k")
+    # Dates, times and counters are text, as CSV files have them: the build casts them.
     players = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
-        F.col("c_custkey").alias("player_id"),
-        *_no_source("date", "registration_date"),
+        key.alias("player_id"),
+        F.date_add(F.lit("2023-01-01").cast("date"), (key % 365).cast("int"))
+        .cast("string")
+        .alias("registration_date"),
         F.col("n_name").alias("country"),
         F.col("c_mktsegment").alias("platform"),
-        *_no_source("string", "install_source", "device_type"),
-        *_no_source("bigint", "player_level"),
+        _choice(key, "organic", "ad", "referral").alias("install_source"),
+        _choice(key, "phone", "tablet").alias("device_type"),
+        (key % 50 + 1).cast("string").alias("player_level"),
     )
-    player_id = (F.col("user_id") * 10 + F.col("k") % 10).alias("player_id")
+    player_id = (F.col("user_id") * 10 + k % 10).alias("player_id")
+    end = F.expr("timestampadd(MICROSECOND, cast(round(value * 60000000) as bigint), ts)")
     sessions = events.select(
         F.col("event_id").alias("session_id"),
         player_id,
-        F.col("ts").alias("session_start"),
-        *_no_source("timestamp_ntz", "session_end"),
+        F.col("ts").cast("string").alias("session_start"),
+        end.cast("string").alias("session_end"),
         F.col("value").alias("duration_minutes"),
-        *_no_source("bigint", "levels_completed", "deaths", "items_collected", "score"),
+        (k % 10).cast("string").alias("levels_completed"),
+        (k % 7).cast("string").alias("deaths"),
+        (k % 20).cast("string").alias("items_collected"),
+        (k * 10).cast("string").alias("score"),
     )
+    item = _choice(F.floor(k / 10), *ITEM_TYPES)
     purchases = events.filter(F.col("event_type") == "purchase").select(
         F.col("event_id").alias("purchase_id"),
         player_id,
         F.col("event_id").alias("session_id"),
-        F.col("ts").alias("purchase_time"),
-        F.element_at(
-            F.array(*[F.lit(item) for item in ITEM_TYPES]),
-            F.floor(F.col("k") / 10).cast("int") % len(ITEM_TYPES) + 1,
-        ).alias("item_type"),
-        *_no_source("string", "item_name"),
+        F.col("ts").cast("string").alias("purchase_time"),
+        item.alias("item_type"),
+        F.concat_ws(" ", item, k % 10).alias("item_name"),
         F.col("value").alias("price_usd"),
-        *_no_source("string", "currency", "platform"),
+        _choice(k, "USD", "EUR").alias("currency"),
+        _choice(k, "iOS", "Android", "Web").alias("platform"),
     )
     return Tables(players=players, sessions=sessions, purchases=purchases)
 

@@ -86,18 +86,21 @@ def build_tables(raw: Tables, *, strict: bool = True) -> Tables:
     )
 
 
+_IDS = {"sessions": "session_id", "purchases": "purchase_id"}
+
+
 def _laid_out(name: str, df: DataFrame) -> DataFrame:
-    """Rows grouped by date and, inside a file, sorted by player.
+    """Rows dealt by ranges of (date, player, id), sorted the same way.
 
-    A date filter then skips whole directories, and a player lookup skips row
-    groups by their minimum and maximum. The rebalance hint lets AQE split a
-    day that is larger than the others over several tasks and join small days
-    up, so one launch day does not end in one task.
+    A date filter skips directories; the files of a day, and those of the players, cover
+    player keys that do not overlap, so a player lookup opens one or two of them. Ranges
+    come from a sample of the rows: a launch day, and a player who owns much of one, are
+    split over several tasks, and AQE joins small ranges up.
     """
-    if name not in DATE_COLUMNS:
-        return df.sortWithinPartitions("player_id")
-    day = DATE_COLUMNS[name]
-    return df.hint("rebalance", day).sortWithinPartitions(day, "player_id")
+    keys = ["player_id"]
+    if name in DATE_COLUMNS:
+        keys = [DATE_COLUMNS[name], "player_id", _IDS[name]]
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
 def _writer(name: str, df: DataFrame) -> DataFrameWriter:

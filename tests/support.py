@@ -69,6 +69,7 @@ def reports(flt: PlayerFilter, cohorts: PlayerFilter) -> dict:
         "platform_share": lambda t: shares.platform_share(t, flt),
         "platform_share_sessions": lambda t: shares.platform_share(t, flt, "sessions"),
         "platform_share_revenue": lambda t: shares.platform_share(t, flt, "revenue"),
+        "platform_shares": lambda t: shares.platform_shares(t, flt),
         "player_first_day": retention.player_first_day,
         "retention_counts": lambda t: retention.retention_counts(t, cohorts),
         "retention": lambda t: retention.retention(t, cohorts),

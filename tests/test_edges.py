@@ -4,7 +4,6 @@ from datetime import date, datetime
 
 import pytest
 from playpulse.filters import PlayerFilter
-from playpulse.functions.day_bits import MAX_DAYS, DayBits
 from playpulse.operators import kpis, monetization, platforms, quality, retention, selection, shares, trends
 from playpulse.schema import WAREHOUSE_SCHEMAS, empty_tables
 from pyspark.sql import functions as F
@@ -189,8 +188,8 @@ def test_filter_arguments(spark):
         shares.platform_share(t, WEEK, "avg_duration")
 
 
-def test_wide_ranges_agree_with_packed_days(spark):
-    """Several words, the first and last bit of each, and the fallback past the limit."""
+def test_ranges_of_any_width_agree(spark):
+    """Several blocks of days, the first and last bit of each, and every open-ended bound."""
     starts = [date(2023, 1, 1), date(2023, 3, 5), date(2023, 3, 6), date(2023, 12, 31), day(31)]
     rows = [
         (f"{i}-{n}", f"p{i}", date.fromordinal(first.toordinal() + n), 1.0)
@@ -198,11 +197,7 @@ def test_wide_ranges_agree_with_packed_days(spark):
         for n in (0, 1, 3, 7)[: i + 1]
     ]
     t = make_tables(spark, players=[(f"p{i}", "DE", "iOS") for i in range(5)], sessions=rows)
-    packed, wide = PlayerFilter("2023-01-01", "2024-02-20"), PlayerFilter("1900-01-01", "2100-01-01")
-    assert DayBits.between(packed.date_from, packed.date_to) is not None
-    assert DayBits.between(wide.date_from, wide.date_to) is None
-    assert DayBits(date(2023, 1, 1), MAX_DAYS).columns[-1] == "day_bits_15"
-
+    ranges = [("2023-01-01", "2024-02-20"), ("1900-01-01", "2100-01-01"), ("0001-01-01", "9999-12-31")]
     by_day = {}
     for _, player, on, _ in rows:
         by_day.setdefault(on, set()).add(player)
@@ -212,7 +207,7 @@ def test_wide_ranges_agree_with_packed_days(spark):
         size, *flags = cohorts.get(first, (0, 0, 0, 0))
         cohorts[first] = (size + 1, *[f + (i >= k) for k, f in enumerate(flags, start=1)])
     expected_cohorts = [(first, *counts) for first, counts in sorted(cohorts.items())]
-    for flt in (packed, wide):
+    for flt in (PlayerFilter(*span) for span in ranges):
         assert values(trends.dau_trend(t, flt)) == expected_days
         assert values(retention.retention_counts(t, flt)) == expected_cohorts
 
@@ -245,3 +240,86 @@ def test_identities(spark):
     cohorts = values(retention.retention(t, registry.COHORTS))
     assert sum(row[1] for row in cohorts) == t.sessions.select("player_id").distinct().count()
     assert all(0 <= pct <= 100 for row in cohorts for pct in row[2:])
+
+
+SMALL_AND_ODD = [
+    ([4e-7, 4e-7], 8e-7),
+    ([1.5e-6], 1.5e-6),
+    ([1e-9] * 3, 3e-9),
+    ([1e-15], 1e-15),
+    ([1e19, 1.0], 1e19 + 1.0),
+    ([5.25, float("inf")], float("inf")),
+    ([float("inf"), float("-inf")], float("nan")),
+    ([float("nan"), 1.0], float("nan")),
+]
+
+
+@pytest.mark.parametrize(("prices", "total"), SMALL_AND_ODD)
+def test_no_amount_is_rounded_away_and_none_raises(spark, prices, total):
+    t = make_tables(
+        spark,
+        players=PLAYERS,
+        purchases=[(f"b{i}", "a", day(6), "bundle", p) for i, p in enumerate(prices)],
+    )
+    want = pytest.approx(total, rel=1e-12, nan_ok=True)
+    assert values(kpis.total_revenue(t, WEEK)) == [(want,)]
+    assert values(kpis.avg_transaction(t, WEEK)) == [(pytest.approx(total / len(prices), nan_ok=True),)]
+    assert values(trends.revenue_trend(t, WEEK)) == [(day(6), want)]
+    assert values(monetization.item_revenue(t, WEEK)) == [("bundle", len(prices), want)]
+    assert values(monetization.top_spenders(t, WEEK)) == [("a", "iOS", len(prices), want)]
+    for report in (platforms.platform_metrics, platforms.platform_metrics_dedup):
+        assert {row[0]: row[4] for row in values(report(t, WEEK))} == {"iOS": want, "Web": 0.0}
+    assert values(quality.warehouse_summary(t))[0][3] == want
+
+
+def test_open_ended_bounds_work_in_every_filtered_report(spark):
+    from support import reports
+
+    ever = PlayerFilter("0001-01-01", "9999-12-31")
+    rows = [("s1", "a", day(5), 4.0), ("s2", "b", date(1969, 12, 31), 4.0), ("s3", "b", date(9999, 12, 31), 1.0)]
+    t = make_tables(
+        spark, players=PLAYERS, sessions=rows, purchases=[("b1", "a", day(6), "bundle", 2.0)]
+    )
+    found = {name: values(report(t)) for name, report in reports(ever, ever).items()}
+    assert found["total_sessions"] == [(3,)]
+    assert found["dau_trend"] == [(date(1969, 12, 31), 1), (day(5), 1), (date(9999, 12, 31), 1)]
+    assert found["retention_counts"] == [(date(1969, 12, 31), 1, 0, 0, 0), (day(5), 1, 0, 0, 0)]
+
+
+def test_session_ids_shared_by_players_count_once_per_platform(spark):
+    t = make_tables(
+        spark,
+        players=[*PLAYERS, ("c", "US", "iOS")],
+        sessions=[
+            ("s1", "a", day(6), 1.0),
+            ("s1", "c", day(6), 1.0),
+            ("s1", "b", day(6), 1.0),
+            ("s2", "a", day(6), 1.0),
+            ("s2", "a", day(7), 1.0),
+            (None, "a", day(6), 1.0),
+        ],
+    )
+    counts = {row[0]: row[1:3] for row in values(platforms.platform_metrics(t, WEEK))}
+    assert counts == {"iOS": (2, 2), "Web": (1, 1)}
+    shares_ = {row[0]: row[1:6] for row in values(shares.platform_shares(t, WEEK))}
+    assert shares_["iOS"] == (2, 2, 0.0, pytest.approx(200 / 3), pytest.approx(200 / 3))
+
+
+def test_odd_values_in_both_engines(spark):
+    """Durations and prices that are tiny, infinite or undefined mean the same in the SQL."""
+    import oracle
+    from support import assert_matches, make_duckdb, reports
+
+    odd = [4e-7, 70.0, float("inf"), float("nan"), 5.0]
+    rows = {
+        "players": PLAYERS,
+        "sessions": [(f"s{i}", "a", day(6), v) for i, v in enumerate(odd)],
+        "purchases": [(f"b{i}", "b", day(6), f"item{i}", v) for i, v in enumerate(odd)],
+    }
+    t, con = make_tables(spark, **rows), make_duckdb(**rows)
+    sql = oracle.bodies("2024-01-05", "2024-01-11", None, ("2024-01-05", "2024-01-11"))
+    for name in ("duration_distribution", "dau_trend"):
+        assert_matches(name, reports(WEEK, WEEK)[name](t), con, sql[name])
+    got = {row[0]: row[2] for row in values(monetization.item_revenue(t, WEEK))}
+    want = {row[0]: row[2] for row in con.execute(sql["item_revenue"]).fetchall()}
+    assert got == pytest.approx(want, nan_ok=True)

@@ -185,13 +185,20 @@ def test_empty_warehouse_opens(spark, tmp_path):
 
 
 def test_a_busy_day_is_split_over_tasks(spark, tmp_path):
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
+    # Sizes at which AQE leaves ranges of this small table apart.
+    small = [
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize",
+    ]
+    for name in small:
+        spark.conf.set(name, "20k")
     try:
         path = str(tmp_path / "warehouse")
         built = many_sessions(spark)
         write_warehouse(built, path)
     finally:
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        for name in small:
+            spark.conf.unset(name)
     facts = tmp_path / "warehouse" / "fact_sessions"
     files = {d.name: len(list(d.glob("part-*"))) for d in facts.glob("session_date=*")}
     assert len(files) == 8
@@ -212,3 +219,57 @@ def test_catalog_tables(spark):
         assert rows(opened) == rows(built)
     assert values(kpis.total_sessions(opened, RANGE)) == [(12_000,)]
     assert values(trends.dau_trend(opened, RANGE))[0][0] == date(2024, 1, 1)
+
+
+def test_files_cover_disjoint_players(spark, tmp_path):
+    """A day's files, and the players', do not overlap; a hot (day, player) is still split."""
+    from pyspark.sql import functions as F
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_warehouse(many_sessions(spark), str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    tables = read_warehouse(spark, str(tmp_path))
+    players = tables.players.select(F.lit(1).alias("day"), "player_id", F.input_file_name().alias("file"))
+    sessions = tables.sessions.select(
+        F.col("session_date").alias("day"), "player_id", F.input_file_name().alias("file")
+    )
+    for df in (players, sessions):
+        files = (
+            df.groupBy("day", "file")
+            .agg(F.min("player_id").alias("low"), F.max("player_id").alias("high"))
+            .orderBy("day", "low", "high")
+            .collect()
+        )
+        for a, b in zip(files, files[1:]):
+            assert a.day != b.day or a.high <= b.low
+    # A player lookup opens one file of the players, and of each day the few that can have it.
+    assert players.where("player_id = 'p77'").select("file").distinct().count() == 1
+    opened = sessions.where("player_id = 'p77'").groupBy("day").agg(F.count_distinct("file").alias("n"))
+    assert opened.agg(F.max("n")).first()[0] == 1
+
+
+def test_a_busy_player_of_a_day_is_split(spark, tmp_path):
+    """A third of all rows on one day and by one player: ids tell the ranges apart."""
+    from pyspark.sql import functions as F
+
+    t = many_sessions(spark)
+    one = t.sessions.withColumn("session_date", F.lit("2024-01-04").cast("date")).withColumn(
+        "player_id", F.lit("hot")
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_warehouse(Tables(t.players, one, t.purchases), str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    day = tmp_path / "fact_sessions" / "session_date=2024-01-04"
+    assert len(list(day.glob("part-*"))) == 4  # as many as there are shuffle partitions
+
+
+def test_csv_with_another_separator(spark, tmp_path):
+    path = str(tmp_path / "other.csv")
+    with open(path, "w") as f:
+        f.write("a;b\n1;x\n2;y\n")
+    rows = read_csv(spark, path, sep=";")
+    assert rows.columns == ["a", "b"] and [tuple(r) for r in rows.orderBy("a").collect()] == [(1, "x"), (2, "y")]
