@@ -22,6 +22,15 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return others.select(F.col("b").alias("a"), "m").union(least.select("a", "m"))
 
 
+def _are_stars(links: DataFrame) -> bool:
+    """Whether every node has one centre at most, and centres have none."""
+    ends = links.select(F.col("a").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        links.select(F.col("b").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    counted = ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return counted.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of the undirected edges (a, b); label is its least node.
 
@@ -29,17 +38,12 @@ def components(edges: DataFrame) -> DataFrame:
     node with very many edges is split. The rounds needed grow with the logarithm of the
     longest path. Edges from a node to itself are dropped; without edges there are no rows.
     """
-    links = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    links = cut(links.distinct())
-    mark = None
+    smaller, larger = F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")
+    links = edges.where("a <> b").select(larger, smaller)
     while True:
-        links = _large_star(links).withColumnRenamed("m", "b").distinct()
+        links = _large_star(links).withColumnRenamed("m", "b")
         links = cut(_small_star(links).withColumnRenamed("m", "b").distinct())
-        now = links.agg(
-            F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))
-        ).first()
-        if now == mark:
+        if _are_stars(links):
             return links.select(F.col("a").alias("node"), F.col("b").alias("label")).union(
                 links.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
             )
-        mark = now

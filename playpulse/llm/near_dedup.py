@@ -14,12 +14,15 @@ shares none with probability 5e-5, one at 0.5 shares some with probability 0.55,
 0.2 with 0.008.
 
 Copies (equal words) are folded before anything else, with a map-side combine, so a huge
-group of copies is one node. Buckets are searched in rounds: the smallest member (the hub)
-of each bucket is compared with the members that are not yet in its class, then leaves the
-bucket; buckets all of one class are finished. Thousands of near copies of one text thus
-cost one comparison each, not one for each pair, and no bucket is capped: the rounds go on
-until nothing is left, with twice as many hubs each time, and every pair of a bucket is
-compared or already in one class. Comparisons are exact, on the whole texts.
+group of copies is one node. Texts that share a bucket with another go on; verification
+then compares whole texts exactly. Even in one bucket most pairs need no comparison: two
+similar texts have a rare shingle in common (see _partners), so the texts of a bucket meet
+by their rare shingles. These groups are searched in rounds: one member of each, the hub,
+is compared with the members that are not yet in its class, then leaves the group; groups
+all of one class are finished. Thousands of near copies of one text thus cost one
+comparison each, not one for each pair, and no group is capped: the rounds go on until
+nothing is left, with sixteen times as many hubs each time, and every pair of a group is
+compared or already in one class. The hub is the member with most in common with others.
 
 Defined cases: a text of one to four words is one shingle; texts without words match only
 equal texts; null texts match nothing. Rows with equal doc_id and text share a class.
@@ -188,28 +191,22 @@ def _marked(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(_mark, f"{kinds}, hash long")
 
 
-def node_of(doc_id: Column, text: Column) -> Column:
-    """A document's node: 16 bytes equal for texts of equal words."""
-
-    @F.arrow_udf("binary")
-    def digest(ids: pa.Array, texts: pa.Array) -> pa.Array:
-        return pa.array(_nodes(ids, texts), pa.binary())
-
-    return digest(doc_id.cast("string"), text.cast("string"))
-
-
 def _texts_of(filled: np.ndarray):
     """(node, hash, text) of the documents whose mark passes the filter."""
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             nodes = _nodes(batch.column("id"), batch.column("text"))
+            counts = np.concatenate([w.counts for w in bytewords.words(batch.column("text"))])
             marks = _marks(nodes, batch.column("id"))
             keep = pa.array(np.flatnonzero(bitfilter.passing(filled, marks.view(np.uint64))))
             yield pa.record_batch(
                 {
                     "node": pa.array(nodes, pa.binary()).take(keep),
                     "hash": pa.array(marks).take(keep),
+                    "n_shingles": pa.array(np.maximum(counts - SHINGLE + 1, 1)).take(keep),
                     "text": batch.column("text").take(keep),
                 }
             )
@@ -217,6 +214,77 @@ def _texts_of(filled: np.ndarray):
     return texts
 
 
+def _own_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(shingle, owner, weight) of every text, without repetition."""
+    for batch in batches:
+        owners = batch.column("hash").to_numpy()
+        for words in bytewords.words(batch.column("text")):
+            rows, hashes, counts = weighted(*shingles(words))
+            yield pa.record_batch(
+                {
+                    "shingle": hashes.view(np.int64),
+                    "owner": owners[words.first_row + rows],
+                    "weight": counts.astype(np.int64),
+                }
+            )
+
+
+def _linkable(
+    rows: DataFrame, texts: DataFrame, threshold: float
+) -> tuple[DataFrame, DataFrame]:
+    """(shingles that several texts have, texts with enough of them).
+
+    J(A, B) is at most the weight of the common shingles as a share of A's. So a text whose
+    shingles are found elsewhere for less than the threshold has no links.
+    """
+    counts = rows.groupBy("shingle").agg(
+        F.count("*").alias("n"), F.min("owner").alias("owner"), F.min("weight").alias("weight")
+    )
+    single = counts.where("n = 1").groupBy("owner").agg(F.sum("weight").alias("single"))
+    kept = (
+        texts.select("node", F.col("hash").alias("owner"), F.col("n_shingles").alias("total"))
+        .join(single, "owner", "left")
+        .withColumn("single", F.coalesce("single", F.lit(0)))
+        .withColumn("share", 1 - F.col("single") / F.col("total"))
+        .where(F.col("share") >= threshold - 1e-9)
+    )
+    return counts.where("n > 1").select("shingle", "n"), cut(kept)
+
+
+def _partners(texts: DataFrame, threshold: float) -> DataFrame:
+    """(bucket, node, share, used): texts by those of their rare shingles a link must share.
+
+    Let shingles be ordered by how many texts have them. The first one that two linked texts
+    have in common must come before more than 1 - threshold of either's weight is used up,
+    or too little would be left; so texts need to meet at these shingles only. `used` is the
+    share of the text's weight that comes before the shingle. Texts without links are taken
+    out first.
+    """
+    rows = texts.select("hash", "text").mapInArrow(
+        _own_shingles, "shingle long, owner long, weight long"
+    )
+    shared, kept = _linkable(rows, texts, threshold)
+    order = Window.partitionBy("owner").orderBy("n", "shingle")
+    before = F.coalesce(
+        F.sum("weight").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    return (
+        rows.join(shared, "shingle")
+        .join(kept, "owner")
+        .withColumn("used", (F.col("single") + before) / F.col("total"))
+        .where(F.col("used") <= 1 - threshold + 1e-9)
+        .select(F.col("shingle").alias("bucket"), "node", "share", "used")
+    )
+
+
+def _may_link(used_a: Column, used_b: Column, threshold: float) -> Column:
+    """Whether texts that first meet after these shares of their weights can be similar.
+
+    If u of A's weight is not in B and v of B's not in A, J <= (1 - u)(1 - v) / (1 - uv).
+    """
+    return (1 - used_a) * (1 - used_b) >= threshold * (1 - used_a * used_b) - 1e-9
+
+
 def probability_jaccard(a: np.ndarray, b: np.ndarray) -> float:
     """J of two texts, given the hashes of their shingles as they occur."""
     a, wa = np.unique(a, return_counts=True)
@@ -269,33 +337,41 @@ def _links(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return found.where(F.col("similarity") >= threshold).select("a", "b")
 
 
-def _round(members: DataFrame, hubs: int) -> tuple[DataFrame, DataFrame]:
+def _round(members: DataFrame, hubs: int, threshold: float) -> tuple[DataFrame, DataFrame]:
     """(pairs of hub and member in different classes, members left for the next round).
 
-    members: (bucket, node, label), in buckets of several classes.
+    members: (bucket, node, share, used, label), in buckets of several classes. Hubs are the
+    members that have most in common with others, as the common origin of copies has.
     """
     if hubs == 1:  # no ordering of buckets: a minimum combines map-side
         first = members.groupBy("bucket").agg(
-            F.min(F.struct("node", "label")).alias("h"),
+            F.min(F.struct((-F.col("share")).alias("order"), "node", "label", "used")).alias("h")
         )
-        ranked = members.join(first, "bucket").select("*", F.col("h.node").alias("hub"))
+        ranked = cut(members.join(first, "bucket"))
         pairs = ranked.where(
-            (F.col("node") != F.col("hub")) & (F.col("label") != F.col("h.label"))
-        ).select(F.col("hub").alias("a"), F.col("node").alias("b"))
-        left = ranked.where(F.col("node") != F.col("hub")).select("bucket", "node")
+            (F.col("label") != F.col("h.label"))
+            & _may_link(F.col("used"), F.col("h.used"), threshold)
+        ).select(F.col("h.node").alias("a"), F.col("node").alias("b"))
+        left = ranked.where(F.col("node") != F.col("h.node"))
     else:
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
-        ranked = members.withColumn("rank", rank)
+        order = Window.partitionBy("bucket").orderBy(F.desc("share"), "node")
+        ranked = cut(members.withColumn("rank", F.row_number().over(order)))
         chosen = ranked.where(F.col("rank") <= hubs).select(
-            "bucket", F.col("node").alias("a"), F.col("label").alias("hub_label")
+            "bucket",
+            F.col("node").alias("a"),
+            F.col("label").alias("hub_label"),
+            F.col("rank").alias("hub_rank"),
+            F.col("used").alias("hub_used"),
         )
-        pairs = (
-            ranked.join(chosen, "bucket")
-            .where((F.col("node") > F.col("a")) & (F.col("label") != F.col("hub_label")))
-            .select("a", F.col("node").alias("b"))
+        meets = (
+            (ranked["bucket"] == chosen["bucket"])
+            & (F.col("rank") > F.col("hub_rank"))
+            & (F.col("label") != F.col("hub_label"))
+            & _may_link(F.col("used"), F.col("hub_used"), threshold)
         )
-        left = ranked.where(F.col("rank") > hubs).select("bucket", "node")
-    return pairs.distinct(), left
+        pairs = ranked.join(chosen, meets).select("a", F.col("node").alias("b"))
+        left = ranked.where(F.col("rank") > hubs)
+    return pairs.distinct(), left.select("bucket", "node", "share", "used")
 
 
 def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -303,8 +379,8 @@ def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         found = members.withColumn("label", F.col("node"))
     else:
-        found = members.join(labels, "node", "left").select(
-            "bucket", "node", F.coalesce("label", "node").alias("label")
+        found = members.join(labels, "node", "left").withColumn(
+            "label", F.coalesce("label", "node")
         )
     several = (
         found.groupBy("bucket")
@@ -332,31 +408,32 @@ def _similar_nodes(documents: DataFrame, signed: DataFrame, threshold: float) ->
     filled = bitfilter.build(wanted.select("hash"))
     texts = (
         documents.select(F.col("doc_id").cast("string").alias("id"), "text")
-        .mapInArrow(_texts_of(filled), "node binary, hash long, text string")
+        .mapInArrow(_texts_of(filled), "node binary, hash long, n_shingles long, text string")
         .join(wanted.select("node", "hash"), ["node", "hash"], "left_semi")
-        .select("node", "text")
         .dropDuplicates(["node"])
     )
     texts = cut(texts)
-    labels, links, tested, hubs = None, None, None, 1
+    members = cut(_labelled(_partners(texts, threshold), None))
+    labels, hubs = None, 1
     while True:
-        pairs, left = _round(members, hubs)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs, left = cut(pairs), cut(left)
-        tested = pairs if tested is None else tested.union(pairs)
+        pairs, left = _round(members, hubs, threshold)
         found = cut(_links(pairs, texts, threshold))
         if not found.isEmpty():
-            stars = found if labels is None else found.union(
-                labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
-            )
-            labels = components(stars)
+            labels = _joined(found, labels)
         if left.isEmpty():
             return labels
         members = cut(_labelled(left, labels))
         if members.isEmpty():
             return labels
-        hubs *= 2
+        hubs *= 16
+
+
+def _joined(found: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Classes after new links: components of the links and of what is joined already."""
+    if labels is None:
+        return components(found)
+    stars = labels.where("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))
+    return components(found.union(stars))
 
 
 def _classified(documents: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
@@ -415,16 +492,22 @@ def dedup(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     changed = changed.select(
         F.col("id").alias("j_id"), F.col("node").alias("j_node"), "once"
     )
-    node, doubt = "__node", "__doubt"
-
-    @F.arrow_udf("boolean")
-    def doubtful(ids: pa.Array, nodes: pa.Array) -> pa.Array:
-        marks = _marks(nodes.to_pylist(), ids)
-        return pa.array(bitfilter.passing(filled, marks.view(np.uint64)))
+    node, doubt, told = "__node", "__doubt", "__told"
+
+    @F.arrow_udf("node binary, doubt boolean")
+    def tell(ids: pa.Array, texts: pa.Array) -> pa.Array:
+        nodes = _nodes(ids, texts)
+        doubtful = bitfilter.passing(filled, _marks(nodes, ids).view(np.uint64))
+        return pa.StructArray.from_arrays(
+            [pa.array(nodes, pa.binary()), pa.array(doubtful)], ["node", "doubt"]
+        )
 
     text_id = F.col("doc_id").cast("string")
-    marked = documents.withColumn(node, node_of(F.col("doc_id"), F.col("text"))).withColumn(
-        doubt, doubtful(text_id, F.col(node))
+    marked = (
+        documents.withColumn(told, tell(text_id, F.col("text").cast("string")))
+        .withColumn(node, F.col(f"{told}.node"))
+        .withColumn(doubt, F.col(f"{told}.doubt"))
+        .drop(told)
     )
     same = (F.col(node) == F.col("j_node")) & text_id.eqNullSafe(F.col("j_id"))
     doubted = marked.where(doubt).join(changed, same, "left")
