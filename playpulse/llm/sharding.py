@@ -126,18 +126,27 @@ def shards(documents: DataFrame, n_shards: int) -> DataFrame:
     )
     counts = placed.groupBy("range", "shard").count().toArrow()
     cells = sorted(zip(*(counts[c].to_pylist() for c in ("range", "shard", "count")), strict=True))
-    in_shard, in_this, offsets = dict.fromkeys(range(n_shards), 0), {}, []
+    # For every range its first shard, and from there on what to add to a row's number to
+    # get its slot: the shard's rows in earlier ranges less the range's in earlier shards.
+    first_shard, place, bases = [0] * len(sizes), [0] * len(sizes), []
+    in_shard, in_range_before, at = [0] * n_shards, 0, None
     for r, s, n in cells:
-        offsets.append((r, s, in_shard[s] - in_this.get(r, 0) - 1))
+        if r != at:
+            at, in_range_before = r, 0
+            first_shard[r], place[r] = s, len(bases)
+        bases += [0] * (place[r] + s - first_shard[r] - len(bases))
+        bases.append(in_shard[s] - in_range_before - 1)
         in_shard[s] += n
-        in_this[r] = in_this.get(r, 0) + n
-    spark = documents.sparkSession
-    bases = spark.createDataFrame(offsets, "range int, shard int, base long")
-    return placed.join(bases, ["range", "shard"]).select(
+        in_range_before += n
+    cell = F.get(splitters.longs(place), F.col("range")) + (
+        F.col("shard") - F.get(splitters.longs(first_shard), F.col("range"))
+    )
+    base = F.get(splitters.longs(bases), cell.cast("int"))
+    return placed.select(
         "doc_id",
         F.col("weight").alias("size"),
         "text_crc32",
         F.col("first").alias("text_hash"),
         "shard",
-        (F.col("base") + F.col("row")).alias("slot"),
+        (base + F.col("row")).alias("slot"),
     )
