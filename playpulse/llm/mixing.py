@@ -283,11 +283,10 @@ def mix(
     """Every document as often as its copies say, all columns unchanged. No shuffle of texts."""
     fitted, _ = fit(documents, labels, targets, keep)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rate = fitted.rate(F.col("__p"))
-    return (
-        documents.withColumn("__p", fitted.classifier.judged(text)["p"])
-        .withColumn("__n", copies_of(rate, F.col("doc_id"), F.xxhash64("text")))
-        .where("__n > 0")
-        .withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("__n"))))
-        .drop("__p", "__n")
+    # One expression, so that nothing in it is worked out twice; no copies, no row.
+    copies = let(
+        fitted.classifier.judged(text)["p"],
+        lambda p: copies_of(fitted.rate(p), F.col("doc_id"), F.xxhash64("text")),
     )
+    taken = F.explode(F.array_repeat(F.lit(1), copies)).alias("__copy")
+    return documents.select("*", taken).drop("__copy")
