@@ -9,8 +9,8 @@ A document is counted by its setting: the least and the greatest hash among its
 lines. Copies and near copies of one page have the same setting and count once, so a page
 is not boilerplate for being mirrored, and its one surviving copy is not lost to this rule.
 
-Two passes: one over the texts for the figures of each document, one over lines as
-(host, hash, setting, doc) rows. Counts combine map-side, so a line of a third of all
+Two passes: one over the texts for the figures of each document, one that makes a short
+row of numbers for each line (host, hash, setting, document), kept for both its uses. Counts combine map-side, so a line of a third of all
 documents is a few rows. Lines over the limit are joined back by (host, hash); Spark
 broadcasts them if they are measured small enough, and shuffles by the key if not.
 
@@ -176,7 +176,7 @@ def judge(
     least_words: int = LEAST_WORDS,
 ) -> DataFrame:
     """The figures of each row of documents with text_hash, words_removed, base_failed, kept."""
-    lines = _line_rows(documents)
+    lines = cut(_line_rows(documents))
     frequent = cut(_frequent(documents, lines, line_share, least_docs))
     key = ["doc_id", "source", "text_hash"]
     removed = (
