@@ -5,14 +5,17 @@ that hold a line are counted. Lines in more than LINE_SHARE of a host's document
 more than LEAST_DOCS of them, are taken out of its documents, and a document that keeps
 less than KEPT_SHARE of its words, or fewer than LEAST_WORDS, is rejected as depleted.
 
-A document is counted by its setting: the least and the greatest hash among its other
-lines. Copies and near copies of one page have the same setting and count once, so a page
-is not boilerplate for being mirrored, and its one surviving copy is not lost to this rule.
+Documents are counted by their whole text, for a line and for its host alike: exact copies
+of one page count once on both sides, so a page is not boilerplate for being mirrored, and
+mirrored pages do not raise the limit for the lines of others. Texts that differ at all are
+different documents.
 
 Two passes: one over the texts for the figures of each document, one that makes a short
-row of numbers for each line (host, hash, setting, document), kept for both its uses. Counts combine map-side, so a line of a third of all
-documents is a few rows. Lines over the limit are joined back by (host, hash); Spark
-broadcasts them if they are measured small enough, and shuffles by the key if not.
+row of numbers for each line (host, hash, text hash, document), kept for both its uses.
+Rows of a line and a text are folded first and then counted with a map-side combine, so a
+line of a third of all documents is a few rows. Lines over the limit are joined back by
+(host, hash); Spark broadcasts them if they are measured small enough, and shuffles by the
+key if not.
 
 Defined cases: a null text has no words and no lines, and fails the base rules. A null host
 is a host. Rows of equal doc_id and text have equal verdicts. An empty table gives none.
@@ -120,7 +123,7 @@ def line_hash(line: Column) -> Column:
 
 
 def _line_rows(documents: DataFrame) -> DataFrame:
-    """(source, doc_id, text_hash, place, line, n_words, setting) for every line with words."""
+    """(source, doc_id, text_hash, place, line, n_words) for every line with words."""
     folded = F.regexp_replace(F.lower(_text()), _BLANKS, " ")
     normal = F.transform(F.split(folded, "\n"), F.trim)
     hashed = F.transform(
@@ -130,34 +133,31 @@ def _line_rows(documents: DataFrame) -> DataFrame:
             (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).alias("n_words"),
         ),
     )
-    rows = documents.select(
-        "source", "doc_id", F.xxhash64("text").alias("text_hash"), hashed.alias("lines")
-    ).withColumn("order", F.sort_array(F.array_distinct(F.col("lines.line"))))
-    last = F.size("order") - 1
-    line = F.col("x.line")
-    least = F.when(line == F.col("ends")[0], F.col("ends")[1]).otherwise(F.col("ends")[0])
-    greatest = F.when(line == F.col("ends")[2], F.col("ends")[3]).otherwise(F.col("ends")[2])
-    ends = [F.get("order", i) for i in (F.lit(0), F.lit(1), last, last - 1)]
-    return (
-        rows.select("source", "doc_id", "text_hash", "lines", F.array(*ends).alias("ends"))
-        .select("source", "doc_id", "text_hash", "ends", F.posexplode("lines").alias("place", "x"))
-        .select(
-            "source",
-            "doc_id",
-            "text_hash",
-            "place",
-            line.alias("line"),
-            F.col("x.n_words").alias("n_words"),
-            F.xxhash64(least, greatest).alias("setting"),
-        )
+    return documents.select(
+        "source",
+        "doc_id",
+        F.xxhash64("text").alias("text_hash"),
+        F.posexplode(hashed).alias("place", "x"),
+    ).select(
+        "source",
+        "doc_id",
+        "text_hash",
+        "place",
+        F.col("x.line").alias("line"),
+        F.col("x.n_words").alias("n_words"),
     )
 
 
 def _frequent(documents: DataFrame, lines: DataFrame, share: float, least: int) -> DataFrame:
     """(f_source, f_line) of the lines above the limits."""
-    hosts = documents.groupBy(F.col("source").alias("h_source")).agg(F.count("*").alias("n_docs"))
+    hosts = (
+        documents.select(F.col("source").alias("h_source"), F.xxhash64("text"))
+        .distinct()
+        .groupBy("h_source")
+        .agg(F.count("*").alias("n_docs"))
+    )
     return (
-        lines.select("source", "line", "setting")
+        lines.select("source", "line", "text_hash")
         .distinct()
         .groupBy("source", "line")
         .agg(F.count("*").alias("n"))

@@ -109,6 +109,25 @@ def test_common_lines_deplete_documents_but_copies_do_not(docs_of):
     assert line_quality.keep_good(docs_of(rows)).count() == 701
 
 
+def test_common_lines_are_counted_by_document(docs_of):
+    rng = random.Random(12)
+
+    def line(n):
+        return " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+
+    # Much boilerplate and one own line: the documents' other lines are nearly the same.
+    shared = [line(10) for _ in range(10)]
+    rows = [(i, "\n".join([*shared, line(60)]), "a") for i in range(300)]
+    # Copies of a page on the same host do not raise the limit for other lines.
+    header, page = line(60), line(40) + "\n" + line(40)
+    rows += [(i, header + "\n" + line(20), "b") for i in range(300, 360)]
+    rows += [(i, page, "b") for i in range(360, 1660)]
+    judged = {r.doc_id: r for r in line_quality.judge(docs_of(rows)).collect()}
+    assert all(judged[i].words_removed == 100 and not judged[i].kept for i in range(300))
+    assert all(judged[i].words_removed == 60 and not judged[i].kept for i in range(300, 360))
+    assert all(judged[i].words_removed == 0 and judged[i].kept for i in range(360, 1660))
+
+
 def test_quality_awkward_rows(awkward, no_rows):
     got = {r.doc_id: r for r in line_quality.judge(awkward).collect()}
     assert got[1].n_words == 0 and got[1].base_failed and not got[1].kept
