@@ -163,6 +163,29 @@ def test_a_passage_is_removed_wherever_it_stands(docs_of):
     assert all(got[i].n_removed == 0 and got[i].text == rows[i][1] for i in range(60, 80))
 
 
+def test_whole_passages_are_removed(docs_of):
+    rng = random.Random(21)
+
+    def line(n=8):
+        return " ".join(f"v{rng.randrange(10**9)}" for _ in range(n))
+
+    rows, size = [], {}
+    for lines, words in ((3, 20), (4, 15), (5, 12), (8, 12), (20, 8), (2, 49)):
+        for _ in range(4):
+            passage = [line(words) for _ in range(lines)]
+            for gap in ([], [""]):  # lines without words do not break a passage
+                size[len(rows)] = (lines + len(gap), bool(gap))
+                body = passage[:1] + gap + passage[1:]
+                rows.append((len(rows), "\n".join([line(), line(), *body, line()])))
+    rows.append((len(rows), "\n".join([line(60)[:9], *["again and again and over"] * 12])))
+    got = {r.doc_id: r for r in line_chunks.dedup_lines(docs_of(rows)).collect()}
+    for i, (n, second) in size.items():
+        assert got[i].n_removed == (n if second else 0)
+        if second:
+            own = rows[i][1].split("\n")
+            assert got[i].text.split("\n") == own[:2] + own[-1:]
+
+
 def test_line_awkward_rows(awkward, no_rows):
     got = [r for r in line_chunks.dedup_lines(awkward).collect()]
     texts = {r.doc_id: r.text for r in got}
