@@ -42,13 +42,13 @@ LIFT = 4.0
 RIDGE = 1e-3
 STEPS = 60
 TOLERANCE = 1e-6
-#: Terms that may be used: marks, and words without signs (signs are told by a mark).
-_PLAIN = r"^(#[a-z]+|[^#*$%&|<>!.,;:]+)$"
+#: What lies between words: bytes that are no ASCII digit, letter or part of other characters.
+_BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def _words(text: Column) -> Column:
-    """Words between blanks and line feeds, as they stand."""
-    return F.array_remove(F.split(F.replace(text, F.lit("\n"), F.lit(" ")), " "), "")
+    """Words of a text, lower-cased, without white space and punctuation."""
+    return F.array_remove(F.split(F.lower(text), _BREAK), "")
 
 
 def _terms(text: Column, words: Column) -> Column:
@@ -166,7 +166,6 @@ def fit_classifier(documents: DataFrame, labels: DataFrame, domains: list[str])
         counts.where(have < total)
         .withColumn("chi2", F.round(chi2, 6))
         .where((F.col("chi2") > CHI2) & (F.greatest(*lifts) > LIFT))
-        .where(F.col("term").rlike(_PLAIN))
         .orderBy(F.desc("chi2"), "term")
         .limit(MOST_TERMS)
         .collect()

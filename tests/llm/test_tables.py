@@ -201,6 +201,20 @@ def test_rates_meet_targets_and_are_least_squares(spark, docs_of):
     assert right >= 0.97 * len(got)
 
 
+def test_words_are_told_in_any_case_and_beside_signs(spark, docs_of):
+    rows, labels = domain_rows(7)
+    own = " ".join(f"common{i}" for i in range(60))
+    forms = ["bword1 bword2 bword3", "Bword1 BWORD2 bWord3", "bword1, (bword2) bword3.", "bword1\tbword2\tbword3"]
+    rows += [(1000 + i, f"{own} {form}") for i, form in enumerate(forms)]
+    rows += [(2000, f"{own} {forms[0]}".replace(" ", "\t"))]
+    known = spark.createDataFrame(labels, "doc_id long, domain string")
+    got = {r.doc_id: r for r in mixing.rates(docs_of(rows), known, {"a": 0.5, "b": 0.5}).collect()}
+    plain = got[1000]
+    assert plain.p[1] > 0.9 and plain.n_tokens == 63
+    for i in (1001, 1002, 1003, 2000):
+        assert (got[i].p, got[i].rate, got[i].n_tokens) == (plain.p, plain.rate, 63)
+
+
 def test_kept_domain_is_not_reduced(spark, docs_of):
     rows, labels = domain_rows(5)
     known = spark.createDataFrame(labels, "doc_id long, domain string")
