@@ -15,6 +15,7 @@ from playpulse.llm import (
     mixing,
     near_dedup,
     sharding,
+    substring_dedup,
     token_output,
     toxicity,
     url_filter,
@@ -155,6 +156,11 @@ def op10_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", *chances, "rate", "copies")
 
 
+def op12_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return substring_dedup.digests(substring_dedup.dedup_substrings(documents))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # it imports this module for its last stages
 
@@ -172,6 +178,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_models": op8_url_models,
     "op9_huffman_tokens": op9_huffman_tokens,
     "op10_soft_mixing": op10_soft_mixing,
+    "op12_super_kmers": op12_super_kmers,
     "pipeline": pipeline,
 }
 
@@ -179,4 +186,5 @@ ORACLE: dict[str, str] = {
     "op2_template_markup": license_scan.oracle_sql(),
     "op3_line_chunks": line_chunks.ORACLE_SQL,
     "op5_line_frequency": line_quality.ORACLE_SQL,
+    "op12_super_kmers": substring_dedup.ORACLE_SQL,
 }
