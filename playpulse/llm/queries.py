@@ -18,6 +18,7 @@ from playpulse.llm import (
     substring_dedup,
     token_output,
     toxicity,
+    turn_repair,
     url_filter,
     winnowing,
 )
@@ -156,6 +157,10 @@ def op10_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", *chances, "rate", "copies")
 
 
+def op11_rank_convergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.damaged_report(_table(spark, sf_dir, "conversations"))
+
+
 def op12_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     return substring_dedup.digests(substring_dedup.dedup_substrings(documents))
@@ -178,6 +183,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_models": op8_url_models,
     "op9_huffman_tokens": op9_huffman_tokens,
     "op10_soft_mixing": op10_soft_mixing,
+    "op11_rank_convergence": op11_rank_convergence,
     "op12_super_kmers": op12_super_kmers,
     "pipeline": pipeline,
 }
