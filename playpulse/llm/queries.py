@@ -14,6 +14,7 @@ from playpulse.llm import (
     line_quality,
     mixing,
     near_dedup,
+    prefix_trie,
     sharding,
     substring_dedup,
     token_output,
@@ -166,6 +167,10 @@ def op12_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(substring_dedup.dedup_substrings(documents))
 
 
+def op13_ternary_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.rebuilt(_table(spark, sf_dir, "conversations")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # it imports this module for its last stages
 
@@ -185,6 +190,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_soft_mixing": op10_soft_mixing,
     "op11_rank_convergence": op11_rank_convergence,
     "op12_super_kmers": op12_super_kmers,
+    "op13_ternary_trie": op13_ternary_trie,
     "pipeline": pipeline,
 }
 
