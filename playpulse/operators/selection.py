@@ -11,7 +11,14 @@ from playpulse.schema import Tables
 
 
 def date_bounds(tables: Tables) -> DataFrame:
-    """First and last session day, the default date range."""
+    """First and last session day, the default date range.
+
+    A stored warehouse has one row of statistics for each day: no session is read.
+    """
+    stats = tables.statistics()
+    if stats is not None:
+        days = stats.where((F.col("table_name") == "sessions") & (F.col("n_rows") > 0))
+        return days.agg(F.min("day").alias("min_date"), F.max("day").alias("max_date"))
     return tables.sessions.agg(
         F.min("session_date").alias("min_date"), F.max("session_date").alias("max_date")
     )

@@ -19,6 +19,10 @@ class Tables:
     def named(self) -> dict[str, DataFrame]:
         return {"players": self.players, "sessions": self.sessions, "purchases": self.purchases}
 
+    def statistics(self) -> DataFrame | None:
+        """Counts and sums by table and date, where they are kept and up to date."""
+        return None
+
 
 def _struct(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])

@@ -1,6 +1,7 @@
 """CSV in, star schema out, and back again."""
 
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from playpulse.filters import PlayerFilter
@@ -10,6 +11,7 @@ from playpulse.sources.raw_csv import read_csv, read_raw, write_csv, write_raw
 from playpulse.sources.warehouse import (
     build_dim_players,
     build_tables,
+    current_folder,
     load_warehouse,
     read_warehouse,
     save_warehouse,
@@ -199,7 +201,7 @@ def test_a_busy_day_is_split_over_tasks(spark, tmp_path):
     finally:
         for name in small:
             spark.conf.unset(name)
-    facts = tmp_path / "warehouse" / "fact_sessions"
+    facts = Path(current_folder(spark, path)) / "fact_sessions"
     files = {d.name: len(list(d.glob("part-*"))) for d in facts.glob("session_date=*")}
     assert len(files) == 8
     assert files["session_date=2024-01-04"] > 1
@@ -263,7 +265,7 @@ def test_a_busy_player_of_a_day_is_split(spark, tmp_path):
         write_warehouse(Tables(t.players, one, t.purchases), str(tmp_path))
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    day = tmp_path / "fact_sessions" / "session_date=2024-01-04"
+    day = Path(current_folder(spark, str(tmp_path))) / "fact_sessions" / "session_date=2024-01-04"
     assert len(list(day.glob("part-*"))) == 4  # as many as there are shuffle partitions
 
 
