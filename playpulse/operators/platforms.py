@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from playpulse.filters import PlayerFilter
 from playpulse.functions.numbers import sum_of_parts, wide, zero_if_null
-from playpulse.plans.rollups import KEY, activity_rollup, sessions_in_range
+from playpulse.plans.rollups import KEY, REPEATED_ID, activity_rollup
 from playpulse.schema import Tables
 
 
@@ -18,34 +18,6 @@ def _at_least_one(count: str) -> Column:
     return wide(F.greatest(F.coalesce(F.col(count), F.lit(0)), F.lit(1)))
 
 
-def _single_ids(tables: Tables, flt: PlayerFilter) -> tuple[DataFrame, DataFrame]:
-    """(ids of one player each, as rows of that player; ids that several players share).
-
-    The raw ids are shuffled once, by id, copies dropped map-side.
-    """
-    owners = (
-        sessions_in_range(tables, flt)
-        .filter(F.col("session_id").isNotNull())
-        .groupBy("session_id")
-        .agg(F.min(KEY).alias(KEY), F.max(KEY).alias("other"))
-    )
-    single = owners.filter(F.col(KEY) == F.col("other")).select(KEY)
-    shared = owners.filter(F.col(KEY) != F.col("other")).select("session_id")
-    return single, shared
-
-
-def _shared_sessions(tables: Tables, flt: PlayerFilter, shared: DataFrame) -> DataFrame:
-    """Distinct ids per platform among those that several players share, row by row."""
-    ids = sessions_in_range(tables, flt).select(KEY, "session_id")
-    players = tables.players.filter(flt.on_platform()).select(KEY, "platform")
-    return (
-        ids.join(shared, "session_id", "left_semi")
-        .join(players, KEY)
-        .groupBy(F.col("platform").alias("of_platform"))
-        .agg(F.count_distinct("session_id").alias("shared_sessions"))
-    )
-
-
 FIGURES = ("players", "sessions", "avg_duration", "revenue")
 
 
@@ -60,36 +32,40 @@ def platform_figures(
     """The chosen columns of the platform comparison, unsorted; only what they need is read.
 
     The dimension is shuffled once, by player: the join's partitioning also serves the
-    grouping by player and platform that follows. Session ids of one player are folded to a
-    count with the rest of the player's activity; ids that several players share are looked
-    up row by row.
+    grouping by player and platform that follows. Session ids that occur once are folded to a
+    count with the rest of the player's activity; those that may repeat, among its own rows or
+    another player's, come as a row for each player and id, and are counted by platform. The
+    sessions are read twice: for the ids that repeat, and for everything else.
     """
     players = tables.players.filter(flt.on_platform()).select(KEY, "platform")
     if set(figures) <= {"players"}:
         return players.groupBy("platform").agg(F.count_distinct(KEY).alias("players"))
 
     by_id = "sessions" in figures and not unique_session_ids
-    ids, shared = _single_ids(tables, flt) if by_id else (None, None)
+    keys = [KEY, REPEATED_ID] if by_id else [KEY]
     activity = activity_rollup(
         tables,
         flt,
         minutes="avg_duration" in figures,
         purchases=fan_out or "revenue" in figures,
-        ids=ids,
+        by_repeated_id=by_id,
     )
-    sums = [c for c in activity.columns if c != KEY]
+    sums = [c for c in activity.columns if c not in keys]
     per_player = (
         players.join(activity, KEY, "left")
-        .groupBy("platform", KEY)
+        .groupBy("platform", *keys)
         .agg(F.count("*").alias("copies"), *[F.max(c).alias(c) for c in sums])
     )
 
     # Every purchase row meets every session row of its player, so each price
     # counts once per session and each duration once per purchase.
     copies = wide(F.col("copies"))
-    found = {"players": F.count(KEY)}
+    # A row with an id stands beside its player's own one.
+    found = {"players": F.count(F.when(F.col(REPEATED_ID).isNull(), F.col(KEY)) if by_id else KEY)}
     if "sessions" in figures:
         found["sessions"] = F.coalesce(F.sum("ids" if by_id else "sessions"), F.lit(0))
+    if by_id:
+        found["repeated"] = F.count_distinct(REPEATED_ID)
     if "avg_duration" in figures:
         per_minute = copies * _at_least_one("purchases") if fan_out else copies
         timed = F.sum(F.col("timed") * per_minute).cast("double")
@@ -99,10 +75,7 @@ def platform_figures(
         found["revenue"] = zero_if_null(sum_of_parts("revenue", per_price))
     report = per_player.groupBy("platform").agg(*[c.alias(n) for n, c in found.items()])
     if by_id:
-        several = _shared_sessions(tables, flt, shared)
-        report = report.join(
-            several, F.col("platform").eqNullSafe(F.col("of_platform")), "left"
-        ).withColumn("sessions", F.col("sessions") + F.coalesce("shared_sessions", F.lit(0)))
+        report = report.withColumn("sessions", F.col("sessions") + F.col("repeated"))
     return report.select("platform", *figures)
 
 

@@ -12,10 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playpulse.filters import PlayerFilter
+from playpulse.functions import id_filter
 from playpulse.functions.numbers import sum_parts
 from playpulse.schema import Tables
 
 KEY = "player_id"
+#: An id of a session that may have others of the same id; null in rows of whole players.
+REPEATED_ID = "repeated_id"
 
 
 def sessions_in_range(tables: Tables, flt: PlayerFilter) -> DataFrame:
@@ -66,30 +69,56 @@ def purchase_rollup(tables: Tables, flt: PlayerFilter) -> DataFrame:
     )
 
 
+def _session_rows(tables: Tables, flt: PlayerFilter, by_repeated_id: bool) -> DataFrame:
+    """Sessions with is_session; with ids told apart if asked.
+
+    Then is_id marks a session whose id occurs once. A session whose id may repeat has a second
+    row, which holds only the player and the id.
+    """
+    sessions = sessions_in_range(tables, flt)
+    if not by_repeated_id:
+        return sessions.withColumn("is_session", F.lit(1))
+    named = sessions.where(F.col("session_id").isNotNull()).groupBy("session_id")
+    again = named.agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    marked = id_filter.marked(sessions, "session_id", id_filter.cells(again, "session_id"), "repeats")
+    own = F.when(F.col("repeats"), F.array(F.lit(None), F.col("session_id")))
+    no_id = F.array(F.lit(None).cast(sessions.schema["session_id"].dataType))
+    rows = marked.select("*", F.explode(F.coalesce(own, no_id)).alias(REPEATED_ID))
+    whole = F.col(REPEATED_ID).isNull()
+    return rows.withColumns(
+        {
+            "is_session": F.when(whole, 1),
+            "is_id": F.when(whole & ~F.col("repeats") & F.col("session_id").isNotNull(), 1),
+            "duration_minutes": F.when(whole, F.col("duration_minutes")),
+        }
+    )
+
+
 def activity_rollup(
     tables: Tables,
     flt: PlayerFilter,
     *,
     minutes: bool = True,
     purchases: bool = True,
-    ids: DataFrame | None = None,
+    by_repeated_id: bool = False,
 ) -> DataFrame:
     """Both facts of the range folded together, one row per player with any activity.
 
     The facts are stacked and grouped once, so they share one shuffle and need
-    one join to the players instead of two. ``minutes`` and ``purchases`` can be left out;
-    ``ids`` has a row with the player for each further thing to count as ``ids``.
+    one join to the players instead of two. ``minutes`` and ``purchases`` can be left out.
+    ``by_repeated_id`` adds ``ids``, the sessions whose id occurs once, and further rows for
+    each player and id that may repeat, with nothing but these two.
     """
+    keys = [KEY, REPEATED_ID] if by_repeated_id else [KEY]
     timed = [F.col("duration_minutes").alias("minutes")] if minutes else []
-    activity = sessions_in_range(tables, flt).select(KEY, F.lit(1).alias("is_session"), *timed)
+    counted = ["is_id"] if by_repeated_id else []
+    rows = _session_rows(tables, flt, by_repeated_id)
+    activity = rows.select(*keys, "is_session", *counted, *timed)
     if purchases:
         bought = purchases_in_range(tables, flt).select(
             KEY, F.lit(1).alias("is_purchase"), F.col("price_usd").alias("price")
         )
         activity = activity.unionByName(bought, allowMissingColumns=True)
-    if ids is not None:
-        counted = ids.select(KEY, F.lit(1).alias("is_id"))
-        activity = activity.unionByName(counted, allowMissingColumns=True)
     figures = [F.count("is_session").alias("sessions")]
     if minutes:
         figures += [*sum_parts(activity, "minutes", "minutes"), F.count("minutes").alias("timed")]
@@ -99,6 +128,6 @@ def activity_rollup(
             *sum_parts(activity, "price", "revenue"),
             F.count("price").alias("priced"),
         ]
-    if ids is not None:
+    if by_repeated_id:
         figures.append(F.count("is_id").alias("ids"))
-    return activity.groupBy(KEY).agg(*figures)
+    return activity.groupBy(*keys).agg(*figures)

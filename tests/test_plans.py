@@ -93,8 +93,11 @@ def _moves(plan: str) -> int:
 
 def test_platform_report_moves_each_thing_once(stored, no_broadcast, capsys):
     plan = plan_of(platforms.platform_metrics(stored, RANGE), capsys)
-    # Sessions: folded by player, ids, shared ids; ids again to tell the shared ones.
-    assert len(re.findall(r"Location:.*fact_sessions", plan)) <= 4
+    # Sessions: once for the ids that repeat, once for everything else.
+    assert len(re.findall(r"Location:.*fact_sessions", plan)) == 2
+    # Ids, the cells of their filter; activity by player and id, then by player; the dimension;
+    # the result by platform and id, by platform, and the sort.
+    assert _moves(plan) == 8
     assert len(re.findall(r"Location:.*fact_purchases", plan)) == 1
     unique = plan_of(platforms.platform_metrics(stored, RANGE, unique_session_ids=True), capsys)
     # Both facts once, the dimension once; then activity and dimension by player, the
