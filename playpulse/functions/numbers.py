@@ -9,42 +9,66 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MICRO = Decimal("0.000001")
-#: Amounts from here on are summed as DOUBLE, so that no BIGINT sum can overflow.
+#: Amounts from here on are split by powers of two, so that no BIGINT sum can overflow.
 _PARTS_BELOW = 1e9
+_LIMBS_BELOW = 2.0**68
+#: Limbs are multiples of these, of 30 bits at most: what twelve decimals leave of a small amount
+#: lies under 2**-39, and a large one has no bits under 2**-22.
+_WEIGHTS = {"fine": 2.0**-69, "finest": 2.0**-99, "high": 2.0**38, "mid": 2.0**8, "low": 2.0**-22}
+_PARTS = ("whole", "micro", "pico", *_WEIGHTS, "rest")
 
 
 def _split(value: Column, kind: T.DataType) -> dict[str, Column]:
-    """A number as whole units, millionths, millionths of those, and a DOUBLE for the rest.
-
-    The rest is 0 where the three BIGINT parts give back the very same DOUBLE, as they do
-    for amounts of up to twelve decimals. Otherwise it is what they miss: smaller digits,
-    or the whole of a large, infinite or undefined value. Nothing is rounded away.
+    """A number as parts whose sums do not depend on the order of the rows.
+
+    These are whole units, millionths and millionths of those, all BIGINT. What they miss of a
+    small amount (more than twelve decimals), and the whole of a large one, goes to limbs: whole
+    multiples of fixed powers of two that give back the very same DOUBLE. They are NULL for
+    other amounts. The DOUBLE at the end is for what has no limb: infinite and undefined
+    values, amounts from 2**68 up, bits under 2**-99. Nothing is rounded away. A BIGINT sum
+    holds 2**33 of the largest parts.
     """
     zero = F.lit(0).cast("bigint")
     if isinstance(kind, T.IntegralType):
-        none = F.when(value.isNotNull(), zero)
-        return {"whole": value.cast("bigint"), "micro": none, "pico": none, "rest": none.cast("double")}
+        none, no_limb = F.when(value.isNotNull(), zero), F.lit(None).cast("bigint")
+        limbs = dict.fromkeys(_WEIGHTS, no_limb)
+        parts = {"whole": value.cast("bigint"), "micro": none, "pico": none}
+        return parts | limbs | {"rest": none.cast("double")}
     value = value.cast("double")
     small = F.abs(value) < F.lit(_PARTS_BELOW)  # false for NaN, which is above all numbers
+    large = ~small & (F.abs(value) < F.lit(_LIMBS_BELOW))
     held = F.when(small, value).otherwise(F.when(value.isNotNull(), F.lit(0.0)))
     whole = F.floor(held)
     micro = F.rint((held - whole) * 1e6).cast("bigint")
     pico = F.rint(((held - whole) - micro / F.lit(1e6)) * 1e12).cast("bigint")
     back = whole + (micro * 1_000_000 + pico) / F.lit(1e12)
+    missed = value - back
+
+    def limb(amount: Column, name: str) -> Column:
+        return (amount * F.lit(1 / _WEIGHTS[name])).cast("bigint")
+
+    long = small & (back != value)
     return {
         "whole": whole,
         "micro": micro,
         "pico": pico,
-        "rest": F.when(small, F.when(back == value, F.lit(0.0)).otherwise(value - back)).otherwise(value),
+        "fine": F.when(long, limb(missed, "fine")),
+        "finest": F.when(long, limb(missed % F.lit(_WEIGHTS["fine"]), "finest")),
+        "high": F.when(large, limb(value, "high")),
+        "mid": F.when(large, limb(value % F.lit(_WEIGHTS["high"]), "mid")),
+        "low": F.when(large, limb(value % F.lit(_WEIGHTS["mid"]), "low")),
+        "rest": F.when(long, missed % F.lit(_WEIGHTS["finest"]))
+        .when(small | large, F.lit(0.0))
+        .otherwise(value),
     }
 
 
 def _names(name: str) -> list[str]:
-    return [f"{name}_{part}" for part in ("whole", "micro", "pico", "rest")]
+    return [f"{name}_{part}" for part in _PARTS]
 
 
 def sum_parts(df: DataFrame, source: str, name: str) -> list[Column]:
-    """Aggregates that hold SUM(source) in four columns, to be summed on and put together later.
+    """Aggregates that hold SUM(source) in several columns, to be summed on and put together later.
 
     Floating-point sums change with the order of the rows, and DECIMAL sums cost several
     times the rest of a scan. BIGINT sums are exact and stay in generated code.
@@ -53,18 +77,24 @@ def sum_parts(df: DataFrame, source: str, name: str) -> list[Column]:
     return [F.sum(part).alias(f"{name}_{key}") for key, part in parts.items()]
 
 
-def _together(whole: Column, micro: Column, pico: Column, rest: Column) -> Column:
-    """DOUBLE of the four sums. With no more than six decimals it is rounded only once."""
-    return (whole + micro * F.lit(MICRO)).cast("double") + (pico.cast("double") / 1e12 + rest)
+def _together(sums: dict[str, Column]) -> Column:
+    """DOUBLE of the sums of all parts. With no more than six decimals it is rounded only once."""
+    limbs = F.lit(0.0)
+    for name, weight in sorted(_WEIGHTS.items(), key=lambda item: item[1]):
+        limbs = limbs + F.coalesce(sums[name].cast("double"), F.lit(0.0)) * F.lit(weight)
+    units = (sums["whole"] + sums["micro"] * F.lit(MICRO)).cast("double")
+    return units + ((sums["pico"].cast("double") / 1e12 + limbs) + sums["rest"])
 
 
 def sum_of_parts(name: str, times: Column | None = None) -> Column:
     """The last aggregate over the columns of ``sum_parts``; each row counts ``times`` times."""
-    whole, micro, pico, rest = (F.col(c) for c in _names(name))
+    columns = dict(zip(_PARTS, (F.col(c) for c in _names(name))))
+    rest = columns.pop("rest")
     if times is None:
-        return _together(*(wide(F.sum(c)) for c in (whole, micro, pico)), F.sum(rest))
-    exact = (F.sum(wide(c) * times) for c in (whole, micro, pico))
-    return _together(*exact, F.sum(rest * times.cast("double")))
+        sums = {part: wide(F.sum(c)) for part, c in columns.items()}
+        return _together(sums | {"rest": F.sum(rest)})
+    sums = {part: F.sum(wide(c) * times) for part, c in columns.items()}
+    return _together(sums | {"rest": F.sum(rest * times.cast("double"))})
 
 
 def exact_sum(df: DataFrame, name: str, over: WindowSpec | None = None) -> Column:
@@ -72,11 +102,11 @@ def exact_sum(df: DataFrame, name: str, over: WindowSpec | None = None) -> Colum
 
     NaN and infinite values give what a DOUBLE SUM gives; without values it is NULL.
     """
-    parts = _split(F.col(name), df.schema[name].dataType)
-    sums = {key: F.sum(part) for key, part in parts.items()}
+    sums = {key: F.sum(part) for key, part in _split(F.col(name), df.schema[name].dataType).items()}
     if over is not None:
         sums = {key: total.over(over) for key, total in sums.items()}
-    return _together(*(wide(sums[key]) for key in ("whole", "micro", "pico")), sums["rest"])
+    rest = sums.pop("rest")
+    return _together({key: wide(total) for key, total in sums.items()} | {"rest": rest})
 
 
 def wide(value: Column) -> Column:

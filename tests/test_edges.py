@@ -323,3 +323,73 @@ def test_odd_values_in_both_engines(spark):
     got = {row[0]: row[2] for row in values(monetization.item_revenue(t, WEEK))}
     want = {row[0]: row[2] for row in con.execute(sql["item_revenue"]).fetchall()}
     assert got == pytest.approx(want, nan_ok=True)
+
+
+def _bits(value: float) -> str:
+    return value.hex()
+
+
+LARGE_AND_LONG = {
+    "from a billion up": [1e9, 1e15 + 0.3, 123456789012.34, 2.0**60, -(2.0**60) + 256, 0.1, 3e19, -3e19],
+    "more than twelve decimals": [1 / 3, 2 / 7, 1e-13, 1.7e-14, -1e-13, 0.1, 5.0, 0.7 / 9],
+    "both": [1e17, 1.0, 1e-9, -1e17, 1 / 3, 1e-14, 9.99, 2.0**-90],
+}
+
+
+@pytest.mark.parametrize("amounts", LARGE_AND_LONG.values(), ids=LARGE_AND_LONG)
+def test_sums_do_not_depend_on_the_shuffle(spark, amounts):
+    """Equal bits under twenty partitionings of the rows, and the sum itself to the last places."""
+    import math
+    import random
+
+    from playpulse.functions.numbers import exact_sum, sum_of_parts, sum_parts
+
+    rng = random.Random(5)
+    prices = [a * f for a in amounts for f in (1, 1, 3, 7, 0.5, 1.1)]
+    want, found = math.fsum(prices), set()
+    for n in range(20):
+        rng.shuffle(prices)
+        df = spark.createDataFrame([(i % 7, p) for i, p in enumerate(prices)], "k int, price double")
+        df = df.repartition(1 + n % 6, "k" if n % 2 else "price")
+        parts = df.groupBy("k").agg(*sum_parts(df, "price", "x"))
+        folded = parts.groupBy((F.col("k") % 2).alias("k"))
+        folded = folded.agg(*[F.sum(c).alias(c) for c in parts.columns if c != "k"])
+        found.add(_bits(df.agg(exact_sum(df, "price").alias("s")).first().s))
+        found.add(_bits(folded.agg(sum_of_parts("x").alias("s")).first().s))
+        found.add(_bits(parts.agg(sum_of_parts("x", F.lit(1).cast("decimal(20,0)")).alias("s")).first().s))
+    assert len(found) == 1
+    scale = sum(map(abs, prices))
+    assert abs(float.fromhex(found.pop()) - want) <= 4e-16 * scale
+
+
+def test_ids_that_repeat_within_a_player_and_between_players(spark):
+    """Distinct ids by platform, with a filter that lets everything through and as it is."""
+    import random
+
+    from playpulse.functions import id_filter
+
+    rng = random.Random(3)
+    players = [(f"P{i}", "DE", rng.choice(["iOS", "Web", None])) for i in range(30)]
+    players += [("P0", "FR", "Web"), ("P1", "DE", "iOS"), (None, "DE", "iOS")]
+    sessions = [
+        (rng.choice([f"S{i}", f"S{i}", "unknown", f"S{rng.randint(0, 30)}", None]),
+         rng.choice(["P0", f"P{rng.randint(0, 32)}", None]), day(6), 1.0)
+        for i in range(400)
+    ]
+    t = make_tables(spark, players, sessions)
+    home = {}
+    for key, _, platform in players:
+        home.setdefault(key, set()).add(platform)
+    want = {}
+    for session_id, player, _, _ in sessions:
+        for platform in home.get(player, ()) if player and session_id else ():
+            want.setdefault(platform, set()).add(session_id)
+    cells = id_filter.CELLS
+    try:
+        for n in (cells, 1):  # with one cell of 64 bits nearly all ids pass
+            id_filter.CELLS = n
+            for report in (platforms.platform_metrics, platforms.platform_metrics_dedup):
+                got = {row[0]: row[2] for row in values(report(t, WEEK))}
+                assert got == {p: len(ids) for p, ids in want.items()}
+    finally:
+        id_filter.CELLS = cells
