@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playpulse.schema import RAW_SCHEMAS, Tables
+from playpulse.sources.dialect import Dialect, detect
 
 # Quotes inside a quoted field are doubled, not escaped with a backslash. Only
 # an empty field is NULL: the text NA is a country code.
@@ -16,21 +17,27 @@ _FORMAT = {"header": True, "quote": '"', "escape": '"'}
 def read_csv(
     spark: SparkSession,
     path: str,
-    schema: T.StructType | None = None,
+    schema: T.StructType | str | None = None,
     *,
     multiline: bool = False,
-    sep: str = ",",
+    sep: str | None = None,
 ) -> DataFrame:
-    """Scan one headed CSV table; without a schema the types are inferred.
+    """Scan one CSV table; without a schema the types are inferred.
 
-    With a schema the header is checked against it and a malformed number
-    raises. Inference costs one more pass over the files; times are taken as
-    written, without a zone. ``multiline`` allows line breaks inside quoted
-    fields, at the price of unsplittable files. ``sep`` separates the fields.
+    What separates and quotes the fields, and whether names come first, is found out from the
+    beginning of a few files; ``sep`` tells it for files with names. Names are checked against
+    the schema in every file, and a malformed number raises. Inference costs one more pass over
+    the files; times are taken as written, without a zone. ``multiline`` allows line breaks
+    inside quoted fields, at the price of unsplittable files.
     """
-    reader = spark.read.options(
-        **_FORMAT, sep=sep, multiLine=multiline, mode="FAILFAST", enforceSchema=False
-    )
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    names = schema.fieldNames() if schema is not None else None
+    found = Dialect(sep) if sep is not None else detect(spark, path, names)
+    options = _FORMAT | {"sep": found.sep, "quote": found.quote, "header": found.header}
+    if found.quote != '"':
+        options["escape"] = found.quote
+    reader = spark.read.options(**options, multiLine=multiline, mode="FAILFAST", enforceSchema=False)
     if schema is None:
         inferred = reader.option("inferSchema", True).csv(path).schema
         schema = T.StructType(
@@ -46,7 +53,12 @@ def read_csv(
 
 
 def read_raw(
-    spark: SparkSession, path: str, *, infer: bool = False, multiline: bool = False, sep: str = ","
+    spark: SparkSession,
+    path: str,
+    *,
+    infer: bool = False,
+    multiline: bool = False,
+    sep: str | None = None,
 ) -> Tables:
     """The three raw tables under ``path``: players.csv, sessions.csv and purchases.csv."""
     return Tables(
