@@ -13,13 +13,16 @@ from playpulse.functions.day_bits import BLOCK_DAYS, active_bits, block_of
 from playpulse.functions.numbers import percent
 from playpulse.plans.rollups import KEY
 from playpulse.schema import Tables
+from playpulse.sources.retention_state import RetentionState, blocks_of
 
 # The days after the first session at which a return counts.
 RETENTION_DAYS = (1, 3, 7)
 
 
-def player_first_day(tables: Tables) -> DataFrame:
+def player_first_day(tables: Tables | RetentionState) -> DataFrame:
     """First session day per player, over all sessions and whether or not the player is known."""
+    if isinstance(tables, RetentionState):
+        return tables.firsts().withColumnRenamed("first", "first_session_date")
     return tables.sessions.groupBy(KEY).agg(F.min("session_date").alias("first_session_date"))
 
 
@@ -62,18 +65,45 @@ def _flags(sessions: DataFrame, flt: PlayerFilter, days: Sequence[int]) -> DataF
     )
 
 
+def _counts_from_state(
+    state: RetentionState, flt: PlayerFilter, days: Sequence[int]
+) -> DataFrame:
+    """The same from maintained state: a player has one row in each block, so each row tells
+    for itself which returns lie in it, and nothing is moved by player."""
+    first, block, bits = F.col("first"), F.col("block"), F.col("bits")
+    rows = state.bits(*blocks_of(flt, days)).where(flt.in_range("first"))
+
+    def there(n: int) -> Column:
+        at = F.unix_date(first) + n
+        bit = F.getbit(bits, F.pmod(at, F.lit(BLOCK_DAYS)))
+        return (F.floor(at / BLOCK_DAYS) == block) & (bit == 1)
+
+    known = F.col(KEY).isNotNull()
+    return (
+        rows.groupBy(first.alias("first_session_date"))
+        .agg(
+            F.count_if(known & there(0)).alias("cohort_size"),
+            *[F.count_if(known & there(d)).alias(f"d{d}_retained") for d in days],
+        )
+        .orderBy(F.asc_nulls_last("first_session_date"))
+    )
+
+
 def retention_counts(
-    tables: Tables, flt: PlayerFilter, days: Sequence[int] = RETENTION_DAYS
+    tables: Tables | RetentionState, flt: PlayerFilter, days: Sequence[int] = RETENTION_DAYS
 ) -> DataFrame:
     """Cohort size and players back on exactly day N after their first one.
 
     Only the date range applies, and only to the first day: returns may lie
     past its end, platforms are not looked at, and a day that has not come yet
     counts 0. Sessions after the last possible return cannot change any cohort
-    in range and are not read; earlier ones decide the first day and are.
+    in range and are not read; earlier ones decide the first day and are, unless
+    ``tables`` is maintained state: then only its blocks of the range are read.
     """
     if not days or any(day < 0 for day in days):
         raise ValueError("days must be one or more numbers from 0 up")
+    if isinstance(tables, RetentionState):
+        return _counts_from_state(tables, flt, days)
     last = date.fromordinal(min(flt.date_to.toordinal() + max(days), date.max.toordinal()))
     sessions = tables.sessions.filter(F.col("session_date") <= date_literal(last))
     flags = _flags(sessions, flt, days)
@@ -90,7 +120,7 @@ def retention_counts(
 
 
 def retention(
-    tables: Tables, flt: PlayerFilter, days: Sequence[int] = RETENTION_DAYS
+    tables: Tables | RetentionState, flt: PlayerFilter, days: Sequence[int] = RETENTION_DAYS
 ) -> DataFrame:
     """The same as percentages of the cohort, two decimals; NULL for a cohort without members."""
 

@@ -6,11 +6,15 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from playpulse.schema import Tables
-from playpulse.sources.warehouse import build_tables
+from playpulse.sources.retention_state import RetentionState, refresh
+from playpulse.sources.warehouse import build_tables, read_warehouse, write_warehouse
 
 # Item types in the order of floor(k / 10) % 4.
 ITEM_TYPES = ("currency", "powerup", "cosmetic", "bundle")
@@ -83,3 +87,29 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> Tables:
 def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
     """The test data taken through the same warehouse build as raw CSV files."""
     return build_tables(raw_tables(spark, sf_dir))
+
+
+def _shared_folder(spark: SparkSession) -> str:
+    """A new folder under spark.checkpoint.dir; where that is unset (one machine), a temporary one."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="playpulse-")
+    return f"{shared.rstrip('/')}/warehouse-{uuid.uuid4().hex}"
+
+
+def stored_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    """The test data as a stored warehouse, written anew."""
+    path = _shared_folder(spark)
+    write_warehouse(load_tables(spark, sf_dir), path)
+    return read_warehouse(spark, path)
+
+
+def maintained_state(spark: SparkSession, sf_dir: str) -> RetentionState:
+    """Retention state of the test data after two loads: all but every third day, then all.
+
+    So the second refresh reads the missing days only, most of which come late.
+    """
+    path, tables = _shared_folder(spark), load_tables(spark, sf_dir)
+    some = tables.sessions.where(F.dayofyear("session_date") % 3 != 0)
+    for sessions in (some, tables.sessions):
+        write_warehouse(Tables(tables.players, sessions, tables.purchases), f"{path}/tables")
+        state = refresh(read_warehouse(spark, f"{path}/tables"), f"{path}/state")
+    return state

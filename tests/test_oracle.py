@@ -31,6 +31,14 @@ def test_query_on_test_tables(spark, test_tables, name):
     assert_matches(name, df, test_tables, registry.oracle_sql()[name])
 
 
+@pytest.mark.parametrize(
+    "name", sorted(n for n in registry.queries() if n.startswith(("stored_", "maintained_")))
+)
+def test_stored_query_on_test_tables(spark, test_tables, name):
+    df = registry.queries()[name](spark, SF_DIR)
+    assert_matches(name, df, test_tables, registry.oracle_sql()[name])
+
+
 def test_entry_is_the_retention_report(spark):
     df = registry.entry(spark)
     assert df.columns[:2] == ["first_session_date", "cohort_size"]
