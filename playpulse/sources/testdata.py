@@ -90,8 +90,13 @@ def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
 
 
 def _shared_folder(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir; where that is unset (one machine), a temporary one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="playpulse-")
+    """A new folder under spark.checkpoint.dir; on one machine, where that is unset, a temporary one."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="playpulse-")
     return f"{shared.rstrip('/')}/warehouse-{uuid.uuid4().hex}"
 
 
