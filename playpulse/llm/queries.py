@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playpulse.llm import (
+    conversation_sql,
     license_scan,
     line_chunks,
     line_quality,
@@ -198,5 +199,7 @@ ORACLE: dict[str, str] = {
     "op2_template_markup": license_scan.oracle_sql(),
     "op3_line_chunks": line_chunks.ORACLE_SQL,
     "op5_line_frequency": line_quality.ORACLE_SQL,
+    "op11_rank_convergence": conversation_sql.REPAIR,
     "op12_super_kmers": substring_dedup.ORACLE_SQL,
+    "op13_ternary_trie": conversation_sql.TRIE,
 }

@@ -6,10 +6,11 @@ document of smaller id, or earlier in its own. Windows are judged on the input.
 
 Method: the minimiser of a window is the smallest hash of its M-word grams (the first of
 equal ones). Consecutive windows whose minimiser is the same place of the text form a
-super-k-mer, which travels as one packed string, its words joined by one space, to the
-bucket of the minimiser. Equal windows have equal minimisers and so meet in one bucket, at
-about three words moved for each word instead of K. In the bucket the windows are sorted
-by hash, and windows of equal hash are compared byte by byte, so counts are exact.
+super-k-mer, which travels as one packed string to the bucket of the minimiser. Equal
+windows have equal minimisers and so meet in one bucket, at about three words moved for each
+word instead of K. Strings are packed reversibly, common words as codes of two or three
+bytes. In the bucket the windows are sorted by hash, and windows of equal hash are compared
+byte by byte, so counts are exact.
 
 Hot minimisers (those of frequent phrases, and of texts copied thousands of times) are
 found by a first pass that counts. Their super-k-mers are cut into single windows, each in
@@ -33,6 +34,7 @@ are replaced.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -45,11 +47,13 @@ from playpulse.llm import bitfilter, bytewords
 from playpulse.llm.scratch import cut
 
 K = 20
-M = 4
+M = 3
 #: A minimiser is hot above total / 2**HOT_SHIFT super-k-mers, within these bounds.
-HOT_SHIFT, HOT_LEAST, HOT_MOST = 14, 512, 20_000
+HOT_SHIFT, HOT_LEAST, HOT_MOST = 10, 512, 20_000
 #: Minimisers that a task has met fewer times are not counted in the first pass.
 TASK_LEAST = 4
+#: One word in so many is counted for the codes, and a task names so many of the commonest.
+SAMPLED, TASK_WORDS = 8, 1 << 13
 #: Single windows that a task folds at once.
 FOLDED = 50_000
 
@@ -57,7 +61,7 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, *range(9, 14)]] = True
 
 
-class Packed:
+class Words:
     """The words of a slice of texts: joined by single spaces, with places and hashes."""
 
     def __init__(self, first_row: int, data: np.ndarray, text_starts: np.ndarray) -> None:
@@ -80,6 +84,88 @@ class Packed:
     def rows(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
 
+
+def words_of(column: pa.Array | pa.ChunkedArray) -> Iterator[Words]:
+    for first_row, data, text_starts in bytewords.text_slices(column):
+        yield Words(first_row, data, text_starts)
+
+
+# Packed words: one of the commonest is a code of two or three bytes, any other its bytes and
+# a space. Codes begin with a byte that UTF-8 does not have and go on with others that are
+# neither such a byte nor a space, so the ends of words can be told.
+_LEADS_2 = np.array([0xC0, 0xC1, *range(0xF5, 0xFC)], dtype=np.uint8)
+_LEADS_3 = np.arange(0xFC, 0x100).astype(np.uint8)
+_CODE_SIZE = np.zeros(256, dtype=np.int64)  # by the first byte; 0: none
+_CODE_SIZE[_LEADS_2], _CODE_SIZE[_LEADS_3] = 2, 3
+_NEXT = np.array([b for b in range(256) if b != 32 and not _CODE_SIZE[b]], dtype=np.uint8)
+_SHORT = len(_LEADS_2) * len(_NEXT)
+CODED = 1 << 16
+_MASKS = np.array([(1 << 8 * i) - 1 for i in range(9)], dtype=np.uint64)
+LONGEST_CODED = 16
+
+
+def _sixteen(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Bytes of each word as two integers, and its length; exact for words of 16 bytes at most."""
+    padded = np.concatenate([data, np.zeros(16, dtype=np.uint8)])
+    eights = np.ndarray(len(padded) - 7, dtype="<u8", buffer=padded, strides=(1,))
+    n = ends - starts
+    low = eights[starts] & _MASKS[np.minimum(n, 8)]
+    return low, eights[starts + 8] & _MASKS[np.clip(n - 8, 0, 8)], n
+
+
+def _spread(low: np.ndarray, high: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return bytewords.mix(low + bytewords.mix(high + n.astype(np.uint64)))
+
+
+class Codes:
+    """Short codes of the commonest words, the commonest first."""
+
+    def __init__(self, common: list[bytes]) -> None:
+        common = [w for w in dict.fromkeys(common) if len(w) <= LONGEST_CODED][:CODED]
+        data = np.frombuffer(b"".join(common) or b"", dtype=np.uint8)
+        ends = np.cumsum([len(w) for w in common], dtype=np.int64)
+        low, high, n = _sixteen(data, ends - np.diff(ends, prepend=0), ends)
+        keys = _spread(low, high, n)
+        rank, steps = np.arange(len(common)), len(_NEXT)
+        long = rank >= _SHORT
+        rest = np.where(long, rank - _SHORT, rank)
+        first = np.where(long, _LEADS_3[rest // steps**2 % 4], _LEADS_2[rest // steps % 9])
+        second = np.where(long, _NEXT[rest // steps % steps], _NEXT[rest % steps])
+        code = np.stack([first, second, _NEXT[rest % steps]], axis=1).astype(np.uint8)
+        _, one = np.unique(keys, return_index=True)  # of words with one key only the first
+        self.keys, self.low, self.high, self.n = keys[one], low[one], high[one], n[one]
+        self.code, self.size = code[one], np.where(long, 3, 2)[one]
+
+    def find(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """(whether it has a code, its place here) of each word."""
+        low, high, n = _sixteen(words.data, words.starts, words.ends)
+        keys = _spread(low, high, n)
+        if not len(self.keys):
+            return np.zeros(len(keys), dtype=bool), np.zeros(len(keys), dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        found = (self.low[at] == low) & (self.high[at] == high) & (self.n[at] == n)
+        return found, at
+
+
+class Packed:
+    """The packed words of a slice of texts, and strings of consecutive ones."""
+
+    def __init__(self, words: Words, codes: Codes) -> None:
+        coded, at = codes.find(words)
+        plain = words.ends + 1 - words.starts
+        sizes = np.where(coded, codes.size[at] if len(codes.size) else 0, plain)
+        self.ends = np.cumsum(sizes)
+        self.starts = self.ends - sizes
+        self.data = np.empty(int(sizes.sum()), dtype=np.uint8)
+        to, code = self.starts[coded], codes.code[at[coded]]
+        self.data[to], self.data[to + 1] = code[:, 0], code[:, 1]
+        three = sizes[coded] == 3
+        self.data[to[three] + 2] = code[three, 2]
+        free = ~coded
+        self.data[bytewords.expand(self.starts[free], sizes[free])] = words.data[
+            bytewords.expand(words.starts[free], sizes[free])
+        ]
+
     def strings(self, firsts: np.ndarray, n_words: np.ndarray) -> pa.Array:
         """The words firsts[i] to firsts[i] + n_words[i] - 1 as one string each."""
         a, b = self.starts[firsts], self.ends[firsts + n_words - 1]
@@ -91,9 +177,21 @@ class Packed:
         )
 
 
-def packed(column: pa.Array | pa.ChunkedArray) -> Iterator[Packed]:
-    for first_row, data, text_starts in bytewords.text_slices(column):
-        yield Packed(first_row, data, text_starts)
+class Unpacked:
+    """Where the words of packed strings are, and their hashes."""
+
+    def __init__(self, strings: pa.Array) -> None:
+        self.data, text_starts = _flat(strings)
+        begins = np.zeros(len(self.data) + 1, dtype=bool)
+        begins[text_starts] = True
+        begins[np.flatnonzero(self.data == 32) + 1] = True
+        sizes = _CODE_SIZE[self.data]
+        lead = np.flatnonzero(sizes)
+        begins[lead + sizes[lead]] = True
+        edges = np.flatnonzero(begins)
+        self.starts, self.ends = edges[:-1], edges[1:]
+        self.bounds = np.searchsorted(self.starts, text_starts)
+        self.hashes = bytewords._hash_spans(self.data, self.starts, self.ends)
 
 
 def _least(grams: np.ndarray, width: int) -> np.ndarray:
@@ -111,7 +209,7 @@ def _least(grams: np.ndarray, width: int) -> np.ndarray:
     return better(at[:n], at[width - size : width - size + n])
 
 
-def super_kmers(words: Packed, k: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def super_kmers(words: Words, k: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first word, windows, minimiser) of each run of windows that share a minimiser's place."""
     n = len(words.hashes) - k + 1
     if n <= 0:
@@ -129,53 +227,86 @@ def super_kmers(words: Packed, k: int, m: int) -> tuple[np.ndarray, np.ndarray,
     return firsts, np.flatnonzero(ends) - firsts + 1, grams[at[firsts]].view(np.int64)
 
 
+class _Counts:
+    """Numbers of equal records, merged now and then so that few are held."""
+
+    def __init__(self, kind: np.dtype) -> None:
+        self.values, self.counts = np.empty(0, kind), np.empty(0, np.int64)
+        self.waiting: list[np.ndarray] = []
+        self.n_waiting = 0
+
+    def add(self, values: np.ndarray) -> None:
+        self.waiting.append(values)
+        self.n_waiting += len(values)
+        if self.n_waiting > 1 << 20:
+            self.merge()
+
+    def merge(self) -> None:
+        fresh = np.concatenate([self.values, *self.waiting])
+        weights = np.ones(len(fresh), np.int64)
+        weights[: len(self.counts)] = self.counts
+        self.values, inverse = np.unique(fresh, return_inverse=True)
+        self.counts = np.bincount(inverse, weights, len(self.values)).astype(np.int64)
+        self.waiting, self.n_waiting = [], 0
+
+
+_WORD = np.dtype([("low", "<u8"), ("high", "<u8"), ("n", "<i8")])
+
+
 def _counter(k: int, m: int) -> Callable:
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, counts, total = np.empty(0, np.int64), np.empty(0, np.int64), 0
-        waiting: list[np.ndarray] = []
-
-        def merge() -> None:
-            nonlocal found, counts, waiting
-            if waiting:
-                fresh = np.concatenate(waiting)
-                values, inverse = np.unique(np.concatenate([found, fresh]), return_inverse=True)
-                weights = np.concatenate([counts, np.ones(len(fresh), np.int64)])
-                found, counts = values, np.bincount(inverse, weights).astype(np.int64)
-                waiting = []
+    """Numbers of minimisers and of words (a sample of them: they only choose the codes)."""
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        minimisers, common, total = _Counts(np.int64), _Counts(_WORD), 0
         for batch in batches:
-            for words in packed(batch.column("text")):
-                minimisers = super_kmers(words, k, m)[2]
-                total += len(minimisers)
-                waiting.append(minimisers)
-            if sum(map(len, waiting)) > 1 << 20:
-                merge()
-        merge()
-        often = counts >= TASK_LEAST
+            for words in words_of(batch.column("text")):
+                found = super_kmers(words, k, m)[2]
+                total += len(found)
+                minimisers.add(found)
+                low, high, n = _sixteen(words.data, words.starts[::SAMPLED], words.ends[::SAMPLED])
+                fits = n <= LONGEST_CODED
+                sample = np.empty(int(fits.sum()), dtype=_WORD)
+                sample["low"], sample["high"], sample["n"] = low[fits], high[fits], n[fits]
+                common.add(sample)
+        minimisers.merge()
+        common.merge()
+        often = minimisers.counts >= TASK_LEAST
+        most = np.argsort(-common.counts, kind="stable")[:TASK_WORDS]
+        spelled = [
+            (w["low"].tobytes() + w["high"].tobytes())[: int(w["n"])] for w in common.values[most]
+        ]
+        hashes = minimisers.values[often].tolist()
         yield pa.RecordBatch.from_pydict(
             {
-                "hash": pa.array([None, *found[often].tolist()], pa.int64()),
-                "n": pa.array([total, *counts[often].tolist()], pa.int64()),
+                "hash": pa.array([None, *hashes, *[None] * len(spelled)], pa.int64()),
+                "word": pa.array([*[None] * (len(hashes) + 1), *spelled], pa.binary()),
+                "n": pa.array(
+                    [total, *minimisers.counts[often].tolist(), *common.counts[most].tolist()],
+                    pa.int64(),
+                ),
             }
         )
 
     return count
 
 
-def hot_minimisers(texts: DataFrame, k: int = K, m: int = M) -> np.ndarray:
-    """A filter of fixed size that lets all hot minimisers through."""
+def survey(texts: DataFrame, k: int = K, m: int = M) -> tuple[np.ndarray, Codes]:
+    """(a filter of fixed size that lets all hot minimisers through, codes of common words)."""
     counts = cut(
         texts.select("text")
-        .mapInArrow(_counter(k, m), "hash long, n long")
-        .groupBy("hash")
+        .mapInArrow(_counter(k, m), "hash long, word binary, n long")
+        .groupBy("hash", "word")
         .agg(F.sum("n").alias("n"))
     )
-    total = counts.where(F.col("hash").isNull()).agg(F.max("n")).first()[0] or 0
+    is_hash, is_word = F.col("hash").isNotNull(), F.col("word").isNotNull()
+    total = counts.where(~is_hash & ~is_word).agg(F.max("n")).first()[0] or 0
     bar = min(max(HOT_LEAST, total >> HOT_SHIFT), HOT_MOST)
-    return bitfilter.build(counts.where(F.col("hash").isNotNull() & (F.col("n") > bar)))
+    hot = bitfilter.build(counts.where(is_hash & (F.col("n") > bar)))
+    common = counts.where(is_word).orderBy(F.desc("n"), "word").limit(CODED).select("word")
+    return hot, Codes([bytes(row.word) for row in common.collect()])
 
 
-def _cutter(k: int, m: int, hot: np.ndarray, schema: pa.Schema) -> Callable:
+def _cutter(k: int, m: int, hot: np.ndarray, codes: Codes, schema: pa.Schema) -> Callable:
     """Super-k-mers by bucket; rows without words say that the window at `start` repeats."""
 
     def rows(
@@ -183,7 +314,7 @@ def _cutter(k: int, m: int, hot: np.ndarray, schema: pa.Schema) -> Callable:
     ) -> pa.RecordBatch:
         taken = pa.array(at)
         columns = {
-            "bucket": pa.array(bucket, pa.int64()),
+            "bucket": pa.array(bucket >> 32, pa.int32()),  # half of the hash spreads as well
             "words": words.cast(pa.binary()),
             "doc_id": batch.column("doc_id").take(taken),
             "text_hash": batch.column("text_hash").take(taken),
@@ -211,10 +342,11 @@ def _cutter(k: int, m: int, hot: np.ndarray, schema: pa.Schema) -> Callable:
 
         for batch in batches:
             ids, text_hashes = batch.column("doc_id"), batch.column("text_hash")
-            for words in packed(batch.column("text")):
+            for words in words_of(batch.column("text")):
                 firsts, n, minimisers = super_kmers(words, k, m)
                 if not len(firsts):
                     continue
+                packed = Packed(words, codes)
                 text = words.rows[firsts]
                 is_hot = bitfilter.passing(hot, minimisers)
                 cold = ~is_hot
@@ -222,16 +354,16 @@ def _cutter(k: int, m: int, hot: np.ndarray, schema: pa.Schema) -> Callable:
                     batch,
                     words.first_row + text[cold],
                     minimisers[cold],
-                    words.strings(firsts[cold], n[cold] + (k - 1)),
+                    packed.strings(firsts[cold], n[cold] + (k - 1)),
                     (firsts - words.bounds[text])[cold],
                 )
                 if not is_hot.any():
                     continue
                 windows = bytewords.expand(firsts[is_hot], n[is_hot])
-                buckets = bytewords.rolling(words.hashes, k)[windows].view(np.int64).tolist()
+                buckets = (bytewords.rolling(words.hashes, k)[windows].view(np.int64) >> 32).tolist()
                 of_text = np.repeat(text[is_hot], n[is_hot])
-                data = words.data.tobytes()
-                spans = zip(words.starts[windows].tolist(), words.ends[windows + k - 1].tolist())
+                data = packed.data.tobytes()
+                spans = zip(packed.starts[windows].tolist(), packed.ends[windows + k - 1].tolist())
                 begin = (windows - words.bounds[of_text]).tolist()
                 last, key = -1, ()
                 for at, bucket, (a, b), start in zip(of_text.tolist(), buckets, spans, begin):
@@ -249,7 +381,8 @@ def _cutter(k: int, m: int, hot: np.ndarray, schema: pa.Schema) -> Callable:
                             earliest[window] = (bucket, place)
                             place = first[1]
                         # Its bucket only spreads the rows.
-                        repeats.append((hash((place[2], start)), None, place[1], place[2], place[3]))
+                        spread = zlib.crc32(b"%d %d" % (place[2], place[3])) >> 1
+                        repeats.append((spread ^ row & 0xFFFF, None, *place[1:]))
                     if len(earliest) + len(repeats) >= FOLDED:
                         yield from out()
         yield from out()
@@ -263,7 +396,7 @@ def _repeated_windows(strings: pa.Array, bucket: np.ndarray, same: np.ndarray, k
     Strings come in the order of their places. same: the string is that of the row before it
     (equal rows), which is no repeat.
     """
-    words = Packed(0, *_flat(strings))
+    words = Unpacked(strings)
     n_windows = np.diff(words.bounds) - (k - 1)
     windows = bytewords.expand(words.bounds[:-1], n_windows)
     of_string = np.repeat(np.arange(len(n_windows)), n_windows)
@@ -365,18 +498,34 @@ def _marker(k: int) -> Callable:
     return run
 
 
-def repeated_windows(documents: DataFrame, k: int = K, m: int = M) -> DataFrame:
+def told_apart(documents: DataFrame) -> DataFrame:
+    """Documents with text_hash, which tells documents of one doc_id apart.
+
+    It is 0 for nearly all doc_ids that occur once, to travel light.
+    """
+    again = documents.groupBy("doc_id").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    table = cut(bitfilter.cells(again.select(F.xxhash64("doc_id").alias("hash"))))
+    rows = bitfilter.passes(
+        documents.select(F.struct("*").alias("row"), "doc_id", "text"),
+        table,
+        F.xxhash64("doc_id"),
+        "twice",
+    )
+    text_hash = F.when(F.col("twice"), F.xxhash64("text")).otherwise(F.lit(0).cast("bigint"))
+    return rows.select("row", "doc_id", "text", text_hash.alias("text_hash"))
+
+
+def _repeated_windows_of(texts: DataFrame, k: int, m: int) -> DataFrame:
     """(doc_id, text_hash, start, bits): bit i is set where the window at word start + i repeats."""
-    texts = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     kind = texts.schema["doc_id"].dataType.simpleString()
     places = f"doc_id {kind}, text_hash long, start long"
-    hot = hot_minimisers(texts, k, m)
+    hot, codes = survey(texts, k, m)
     names = ["bucket", "words", "doc_id", "text_hash", "start"]
     id_type = texts.select("doc_id").limit(0).toArrow().schema.field(0).type
-    types = [pa.int64(), pa.binary(), id_type, pa.int64(), pa.int64()]
+    types = [pa.int32(), pa.binary(), id_type, pa.int64(), pa.int64()]
     strings = texts.where(F.col("text").isNotNull()).mapInArrow(
-        _cutter(k, m, hot, pa.schema(list(zip(names, types)))),
-        f"bucket long, words binary, {places}",
+        _cutter(k, m, hot, codes, pa.schema(list(zip(names, types)))),
+        f"bucket int, words binary, {places}",
     )
     return (
         strings.repartition("bucket")
@@ -385,6 +534,11 @@ def repeated_windows(documents: DataFrame, k: int = K, m: int = M) -> DataFrame:
     )
 
 
+def repeated_windows(documents: DataFrame, k: int = K, m: int = M) -> DataFrame:
+    """(doc_id, text_hash, start, bits) of the windows that stand earlier too."""
+    return _repeated_windows_of(told_apart(documents).select("doc_id", "text_hash", "text"), k, m)
+
+
 def _kept_words(k: int) -> Callable:
     @F.arrow_udf("text string, n_words long, n_removed long")
     def kept(texts: pa.Array, marks: pa.Array) -> pa.Array:
@@ -400,7 +554,7 @@ def _kept_words(k: int) -> Callable:
             words = value.encode().split()
             change = np.zeros(len(words) + 1, dtype=np.int64)
             for place in places:
-                start, bits = place["start"], place["bits"]
+                start, bits = place >> k, place & (1 << k) - 1
                 for i in range(bits.bit_length()):
                     if bits >> i & 1:
                         change[start + i] += 1
@@ -418,26 +572,30 @@ def _kept_words(k: int) -> Callable:
 
 
 def dedup_substrings(documents: DataFrame, k: int = K, m: int = M) -> DataFrame:
-    """All rows of documents, with text without repeated windows, n_words and n_removed.
+    """All rows of documents, with text without repeated windows of k words (32 at most),
+    n_words and n_removed.
 
     A text that loses words has those left joined by one space; others stay as they are.
     """
-    marks = (
-        repeated_windows(documents, k, m)
+    rows = told_apart(documents)
+    marks = cut(
+        _repeated_windows_of(rows.select("doc_id", "text_hash", "text"), k, m)
         .groupBy(F.col("doc_id").alias("m_id"), F.col("text_hash").alias("m_hash"))
-        .agg(F.collect_list(F.struct("start", "bits")).alias("marks"))
-    )
-    rows = documents.select(
-        F.struct("*").alias("row"),
-        F.col("doc_id").alias("id"),
-        "text",
-        F.xxhash64("text").alias("text_hash"),
+        .agg(F.collect_list(F.shiftleft("start", k).bitwiseOR(F.col("bits"))).alias("marks"))
     )
+    rows = rows.withColumnRenamed("doc_id", "id")
+    # Only documents that pass a filter of the marked ones are shuffled; it decides nothing.
+    table = cut(bitfilter.cells(marks.select(F.xxhash64("m_id", "m_hash").alias("hash"))))
+    rows = bitfilter.passes(rows, table, F.xxhash64("id", "text_hash"), "doubt")
     same = F.col("id").eqNullSafe(F.col("m_id")) & (F.col("text_hash") == F.col("m_hash"))
+    doubted = rows.where("doubt").join(marks, same, "left").select("row", "text", "marks")
+    clear = rows.where(~F.col("doubt")).select(
+        "row", "text", F.lit(None).cast(doubted.schema["marks"].dataType).alias("marks")
+    )
     own = {"text", "n_words", "n_removed"}
     others = [F.col("row")[c].alias(c) for c in documents.columns if c.lower() not in own]
     return (
-        rows.join(marks, same, "left")
+        clear.unionByName(doubted)
         .select("row", _kept_words(k)(F.col("text"), F.col("marks")).alias("kept"))
         .select(*others, "kept.text", "kept.n_words", "kept.n_removed")
     )

@@ -19,7 +19,7 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def con():
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     return con
 

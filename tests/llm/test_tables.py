@@ -336,4 +336,4 @@ def test_stages_take_awkward_and_empty_tables(spark, awkward, no_rows):
 
 def test_queries_are_registered():
     numbers = {n.split("_")[0] for n in queries.QUERIES if n.startswith("op")}
-    assert numbers == {f"op{n}" for n in range(1, 11)} and "pipeline" in queries.QUERIES
+    assert numbers == {f"op{n}" for n in range(1, 14)} and "pipeline" in queries.QUERIES
