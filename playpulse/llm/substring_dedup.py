@@ -238,7 +238,7 @@ class _Counts:
     def add(self, values: np.ndarray) -> None:
         self.waiting.append(values)
         self.n_waiting += len(values)
-        if self.n_waiting > 1 << 20:
+        if self.n_waiting > max(1 << 17, len(self.values) // 2):
             self.merge()
 
     def merge(self) -> None:
