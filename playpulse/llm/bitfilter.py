@@ -11,6 +11,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from playpulse.llm.names import free_names
+
 BITS = 23
 _CELL = 32
 
@@ -53,14 +55,15 @@ def passes(rows: DataFrame, table: DataFrame, hash_column: Column, name: str) ->
     """rows with a boolean column `name`, by a broadcast of the filter's table.
 
     The table has 131,072 short rows at most, whatever was put in, so it is always broadcast.
+    Callers choose a name that rows do not have.
     """
-    bit = F.pmod(hash_column, F.lit(1 << BITS))
-    found = rows.withColumn("__at", bit).withColumn(
-        "__cell", F.floor(F.col("__at") / 64).cast("int")
-    )
-    hit = F.getbit("__bits", (F.col("__at") % 64).cast("int")) == 1
+    at, cell, bits = free_names(rows, "__at", "__cell", "__bits")
+    table = table.select(F.col("__cell").alias(cell), F.col("__bits").alias(bits))
+    found = rows.withColumn(at, F.pmod(hash_column, F.lit(1 << BITS)))
+    found = found.withColumn(cell, F.floor(F.col(at) / 64).cast("int"))
+    hit = F.getbit(F.col(bits), (F.col(at) % 64).cast("int")) == 1
     return (
-        found.join(F.broadcast(table), "__cell", "left")
+        found.join(F.broadcast(table), cell, "left")
         .withColumn(name, F.coalesce(hit, F.lit(False)))
-        .drop("__cell", "__at", "__bits")
+        .drop(cell, at, bits)
     )

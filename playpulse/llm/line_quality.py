@@ -19,6 +19,7 @@ key if not.
 
 Defined cases: a null text has no words and no lines, and fails the base rules. A null host
 is a host. Rows of equal doc_id and text have equal verdicts. An empty table gives none.
+Other columns stay and may have any names.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from playpulse.llm.names import free_names
 from playpulse.llm.scratch import cut
 
 LINE_SHARE = 0.05
@@ -214,15 +216,20 @@ def keep_good(documents: DataFrame) -> DataFrame:
     base rules are applied where the text is, so only those flags are joined.
     """
     verdicts = judge(documents)
+    r_id, r_source, r_hash = free_names(documents, "r_doc_id", "r_source", "r_text_hash")
     rejected = cut(
-        verdicts.where(~F.col("kept")).select(
-            *(F.col(c).alias(f"r_{c}") for c in ("doc_id", "source", "text_hash"))
-        ).distinct()
+        verdicts.where(~F.col("kept"))
+        .select(
+            F.col("doc_id").alias(r_id),
+            F.col("source").alias(r_source),
+            F.col("text_hash").alias(r_hash),
+        )
+        .distinct()
     )
     same = (
-        F.col("doc_id").eqNullSafe(F.col("r_doc_id"))
-        & F.col("source").eqNullSafe(F.col("r_source"))
-        & (F.xxhash64("text") == F.col("r_text_hash"))
+        F.col("doc_id").eqNullSafe(F.col(r_id))
+        & F.col("source").eqNullSafe(F.col(r_source))
+        & (F.xxhash64("text") == F.col(r_hash))
     )
     return documents.join(rejected, same, "left_anti")
 

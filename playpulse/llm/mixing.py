@@ -22,6 +22,7 @@ copies = floor(r + u), u a hash of doc_id and text in [0, 1), is r on average.
 Defined cases: a null text has no tokens and no words. Labels of unknown domains and null
 doc_ids are left out; without labels of two domains all chances are equal. A domain with
 no expected tokens is not steered. Equal rows have equal rates. Empty tables give none.
+Other columns stay and may have any names.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playpulse.llm.line_quality import let
+from playpulse.llm.names import free_names
 from playpulse.llm.scratch import cut
 
 MOST_EXAMPLES = 12_000
@@ -287,5 +289,6 @@ def mix(
         fitted.classifier.judged(text)["p"],
         lambda p: copies_of(fitted.rate(p), F.col("doc_id"), F.xxhash64("text")),
     )
-    taken = F.explode(F.array_repeat(F.lit(1), copies)).alias("__copy")
-    return documents.select("*", taken).drop("__copy")
+    (copy,) = free_names(documents, "__copy")
+    taken = F.explode(F.array_repeat(F.lit(1), copies)).alias(copy)
+    return documents.select("*", taken).drop(copy)

@@ -25,7 +25,8 @@ nothing is left, with sixteen times as many hubs each time, and every pair of a
 compared or already in one class. The hub is the member with most in common with others.
 
 Defined cases: a text of one to four words is one shingle; texts without words match only
-equal texts; null texts match nothing. Rows with equal doc_id and text share a class.
+equal texts; null texts match nothing. Rows with equal doc_id and text share a class. An
+empty table gives none.
 """
 
 from __future__ import annotations
@@ -41,6 +42,7 @@ from pyspark.sql.window import Window
 
 from playpulse.llm import bitfilter, bytewords
 from playpulse.llm.components import components
+from playpulse.llm.names import free_names
 from playpulse.llm.scratch import cut
 
 SHINGLE = 5
@@ -469,7 +471,8 @@ def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD) -> DataF
 def dedup(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One document of each class, the one of least doc_id; all columns unchanged.
 
-    Rows that certainly stay are told by a filter of fixed size and are not shuffled.
+    Rows that certainly stay are told by a filter of fixed size and are not shuffled. Of rows
+    of equal doc_id and text one stays, with its own other columns; these may have any names.
     """
     rows, nodes = _classified(documents, threshold)
     counted = rows.groupBy("doc_id", "node").agg(F.count("*").alias("n"))
@@ -489,10 +492,12 @@ def dedup(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     )
     changed = cut(_marked(changed))
     filled = bitfilter.build(changed.select("hash"))
+    j_id, j_node, once, node, doubt, told = free_names(
+        documents, "j_id", "j_node", "once", "__node", "__doubt", "__told"
+    )
     changed = changed.select(
-        F.col("id").alias("j_id"), F.col("node").alias("j_node"), "once"
+        F.col("id").alias(j_id), F.col("node").alias(j_node), F.col("once").alias(once)
     )
-    node, doubt, told = "__node", "__doubt", "__told"
 
     @F.arrow_udf("node binary, doubt boolean")
     def tell(ids: pa.Array, texts: pa.Array) -> pa.Array:
@@ -505,14 +510,14 @@ def dedup(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     text_id = F.col("doc_id").cast("string")
     marked = (
         documents.withColumn(told, tell(text_id, F.col("text").cast("string")))
-        .withColumn(node, F.col(f"{told}.node"))
-        .withColumn(doubt, F.col(f"{told}.doubt"))
+        .withColumn(node, F.col(told)["node"])
+        .withColumn(doubt, F.col(told)["doubt"])
         .drop(told)
     )
-    same = (F.col(node) == F.col("j_node")) & text_id.eqNullSafe(F.col("j_id"))
-    doubted = marked.where(doubt).join(changed, same, "left")
-    extra = ["j_id", "j_node", "once", node, doubt]
+    same = (F.col(node) == F.col(j_node)) & text_id.eqNullSafe(F.col(j_id))
+    doubted = marked.where(F.col(doubt)).join(changed, same, "left")
+    extra = [j_id, j_node, once, node, doubt]
     surely = marked.where(~F.col(doubt)).drop(*extra)
-    unique = doubted.where(F.col("once").isNull()).drop(*extra)
-    repeated = doubted.where("once").dropDuplicates([node, "doc_id"]).drop(*extra)
+    unique = doubted.where(F.col(once).isNull()).drop(*extra)
+    repeated = doubted.where(F.col(once)).dropDuplicates([node, "doc_id"]).drop(*extra)
     return surely.union(unique).union(repeated)

@@ -14,12 +14,15 @@ BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir. Where it is unset (tests), a temporary one is set."""
+    """The folder of spark.checkpoint.dir. Where it is unset in a local session (tests), a
+    temporary one is set; on a cluster that raises, since its machines would not share it."""
     named = spark.conf.get(CHECKPOINT_DIR, None)
     if named:
         return named
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isEmpty():
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{CHECKPOINT_DIR} names no folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="playpulse-"))
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
     return current.get()
@@ -28,8 +31,9 @@ def shared_folder(spark: SparkSession) -> str:
 def cut(df: DataFrame) -> DataFrame:
     """The rows of df, kept in the shared folder: computed once, safe from lost executors.
 
-    Only narrow tables (ids, hashes, counts) pass through here. Spark deletes the files
-    with the DataFrame when spark.cleaner.referenceTracking.cleanCheckpoints is on.
+    Mostly ids, hashes and counts pass through here, and texts only of candidates (near
+    duplicates that share a bucket, suspects of contamination). Spark deletes the files with
+    the DataFrame when spark.cleaner.referenceTracking.cleanCheckpoints is on.
     """
     shared_folder(df.sparkSession)
     return df.checkpoint()

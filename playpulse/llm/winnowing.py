@@ -15,7 +15,8 @@ filter saves work and decides nothing.
 
 Defined cases: a null text has no words and is clean. Rows with equal doc_id and text have
 equal results. Several items of one item_id count once; items of null item_id are matched
-but neither counted nor listed. With no benchmark every document is clean.
+but neither counted nor listed. With no benchmark every document is clean, and without
+documents there is no result.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from playpulse.llm import bitfilter, bytewords
+from playpulse.llm.names import free_names
 from playpulse.llm.scratch import cut
 
 WINDOW = 10
@@ -339,17 +341,19 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that share no window with a benchmark item, all columns unchanged.
 
     Documents whose fingerprints all fail the filter pass at once; only the rest, mostly
-    real hits, is compared with the spans found.
+    real hits, is compared with the spans found. Other columns may have any names.
     """
     matcher = Matcher(benchmark)
+    hit_id, hit_key, suspect, key = free_names(
+        documents, "hit_id", "hit_key", "__suspect", "__text_key"
+    )
     hit = matcher.spans(cut(matcher.scan(documents))).select(
-        F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key")
+        F.col("doc_id").alias(hit_id), F.col("text_key").alias(hit_key)
     )
-    suspect, key = "__suspect", "__text_key"
     flagged = documents.withColumn(suspect, matcher.suspect()(F.col("text").cast("string")))
-    same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col(key) == F.col("hit_key"))
+    same = F.col("doc_id").eqNullSafe(F.col(hit_id)) & (F.col(key) == F.col(hit_key))
     kept = (
-        flagged.where(suspect)
+        flagged.where(F.col(suspect))
         .withColumn(key, F.xxhash64(F.lit(0), "doc_id", "text"))
         .join(cut(hit), same, "left_anti")
         .drop(key)
