@@ -5,6 +5,11 @@
 Every stage is a function of (spark, docs, sf_dir). run() writes each result as Parquet to
 the shared folder and reads it again, so a lost executor never costs more than one stage.
 All but the last return the columns of documents.
+
+Defined cases: null and empty texts fail the quality rules. Of rows of equal doc_id and text,
+and of near duplicates, one stays; mixing may take a document several times, or not at all,
+and token files hold it as often. Other columns pass through and may have any names. An empty
+table gives empty stages and no tokens.
 """
 
 from __future__ import annotations
