@@ -254,32 +254,27 @@ WITH docs AS (
     SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM word_lines
     WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
 ), lines AS (
-    SELECT source, doc_id, line, n_words,
-           min(line) OVER d AS l1, max(line) OVER d AS g1
+    SELECT source, doc_id, text, ('0x' || substr(md5(x), 1, 15))::BIGINT AS line,
+           len(string_split(x, ' ')) AS n_words
     FROM (
-        SELECT source, doc_id, ('0x' || substr(md5(x), 1, 15))::BIGINT AS line,
-               len(string_split(x, ' ')) AS n_words
+        SELECT source, doc_id, text, trim(regexp_replace(x, '[\x20\x09-\x0D]+', ' ', 'g')) AS x
         FROM (
-            SELECT source, doc_id, trim(regexp_replace(x, '[\x20\x09-\x0D]+', ' ', 'g')) AS x
-            FROM (
-                SELECT source, doc_id, unnest(string_split(lower(text), chr(10))) AS x FROM docs
-            )
-        ) WHERE x <> ''
-    ) WINDOW d AS (PARTITION BY doc_id)
-), inner_ends AS (
-    SELECT doc_id, min(line) FILTER (line <> l1) AS l2, max(line) FILTER (line <> g1) AS g2
-    FROM lines GROUP BY doc_id
-), settings AS (
-    SELECT DISTINCT source, line, CASE WHEN line = l1 THEN l2 ELSE l1 END AS least,
-           CASE WHEN line = g1 THEN g2 ELSE g1 END AS greatest
-    FROM lines JOIN inner_ends USING (doc_id)
+            SELECT source, doc_id, text, unnest(string_split(lower(text), chr(10))) AS x FROM docs
+        )
+    ) WHERE x <> ''
+), hosts AS (
+    SELECT source, count(DISTINCT coalesce('=' || text, '')) AS n_docs
+    FROM documents GROUP BY source
+), held AS (
+    SELECT source, line, count(DISTINCT text) AS n FROM lines GROUP BY source, line
 ), frequent AS (
-    SELECT source, line FROM settings
-    JOIN (SELECT source, count(*) AS n_docs FROM documents GROUP BY source) USING (source)
-    GROUP BY source, line, n_docs
-    HAVING count(*) > {LEAST_DOCS} AND count(*) > {LINE_SHARE} * n_docs
+    SELECT held.source, line FROM held
+    JOIN hosts ON held.source IS NOT DISTINCT FROM hosts.source
+    WHERE n > {LEAST_DOCS} AND n > {LINE_SHARE} * n_docs
 ), removed AS (
-    SELECT doc_id, sum(n_words) AS n FROM lines JOIN frequent USING (source, line) GROUP BY doc_id
+    SELECT doc_id, sum(n_words) AS n FROM lines JOIN frequent
+    ON lines.line = frequent.line AND lines.source IS NOT DISTINCT FROM frequent.source
+    GROUP BY doc_id
 ), figures AS (
     SELECT doc_id, len(words)::BIGINT AS n_words,
            length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,

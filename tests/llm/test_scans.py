@@ -128,6 +128,46 @@ def test_common_lines_are_counted_by_document(docs_of):
     assert all(judged[i].words_removed == 0 and judged[i].kept for i in range(360, 1660))
 
 
+def test_quality_sql_where_the_line_rule_bites(docs_of):
+    """Hosts on which the floor and the share each decide, with copies, nulls and depleted pages."""
+    rng = random.Random(14)
+
+    def line(n=12):
+        return " ".join(f"q{rng.randrange(10**9)}" for _ in range(n))
+
+    head, foot, rare, menu = line(), line(), line(), "\n".join(line() for _ in range(8))
+    rows = []
+
+    def add(lines, source):
+        rows.append((len(rows), None if lines is None else "\n".join(lines), source))
+
+    for i in range(140):  # in 140, 55 and 45 pages of this host; the last is under the floor
+        own = [line() for _ in range(6)]
+        add([head, *own, *([foot] if i < 55 else []), *([rare] if i < 45 else [])], "a")
+    for i in range(70):  # depleted: eight common lines and three of its own
+        add([menu, line(), line(), line()], "a")
+    copied = [line() for _ in range(9)]
+    for _ in range(80):  # one document, however often
+        add(copied, "a")
+    for i in range(1200):  # over the floor, but within the share of a large host
+        add([line() for _ in range(6)] + ([foot] if i < 58 else []), None)
+    for i in range(60):
+        add([head.upper() + " ", "  " + line(40), line()], None)
+    add(None, "a"), add(None, None), add([""], "a")
+    docs = docs_of(rows)
+    found = line_quality.judge(docs).drop("source", "text_hash")
+    con = duckdb.connect()
+    con.register("documents", docs.select("doc_id", "text", "source").toArrow())
+    want = con.execute(f"SELECT {', '.join(found.columns)} FROM ({line_quality.ORACLE_SQL})").fetchall()
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+    by_id = {r.doc_id: r for r in found.collect()}
+    assert [by_id[i].words_removed for i in (0, 54, 55)] == [24, 24, 12]
+    assert all(by_id[i].words_removed == 96 and not by_id[i].kept for i in range(140, 210))
+    assert all(by_id[i].words_removed == 0 and by_id[i].kept for i in range(210, 290))
+    assert all(by_id[i].words_removed == 0 and by_id[i].kept for i in range(290, 1490))
+    assert all(by_id[i].words_removed == 0 for i in range(1490, 1550))
+
+
 def test_quality_awkward_rows(awkward, no_rows):
     got = {r.doc_id: r for r in line_quality.judge(awkward).collect()}
     assert got[1].n_words == 0 and got[1].base_failed and not got[1].kept
