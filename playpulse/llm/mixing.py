@@ -21,13 +21,15 @@ copies = floor(r + u), u a hash of doc_id and text in [0, 1), is r on average.
 
 Defined cases: a null text has no tokens and no words. Labels of unknown domains and null
 doc_ids are left out; without labels of two domains all chances are equal. A domain with
-no expected tokens is not steered. Equal rows have equal rates. Empty tables give none.
+no expected tokens is not steered. Targets that rates cannot meet, as where documents cannot
+be told apart, are reported by a warning and in Mix.reached. Equal rows have equal rates. Empty tables give none.
 Other columns stay and may have any names.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -44,6 +46,8 @@ LIFT = 4.0
 RIDGE = 1e-3
 STEPS = 60
 TOLERANCE = 1e-6
+#: A domain further from its target than this share of it is reported by a warning.
+MISSED = 0.02
 #: What lies between words: bytes that are no ASCII digit, letter or part of other characters.
 _BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -204,6 +208,11 @@ class Mix:
     reached: list[float]
     targets: list[float]
 
+    def missed(self) -> float:
+        """How far the steered domain furthest off is from its target, as a share of it."""
+        pairs = [(x, t) for x, t in zip(self.reached, self.targets, strict=True) if x > 0 and t > 0]
+        return max((abs(x - t) / t for x, t in pairs), default=0.0)
+
     def rate(self, p: Column) -> Column:
         return _rate(p, self.steps, 1 / (1 + RIDGE))
 
@@ -254,6 +263,11 @@ def fit(
         if moved < TOLERANCE:
             break
     mix.reached = [x * total for x in now]
+    if mix.missed() > MISSED:
+        told = ", ".join(
+            f"{d} {x / t:.3f}" for d, x, t in zip(domains, mix.reached, mix.targets, strict=True) if t
+        )
+        warnings.warn(f"targets not met, tokens as a share of each: {told}", stacklevel=2)
     return mix, rows
 
 

@@ -201,6 +201,20 @@ def test_rates_meet_targets_and_are_least_squares(spark, docs_of):
     assert right >= 0.97 * len(got)
 
 
+def test_missed_targets_are_reported(spark, docs_of):
+    import warnings
+
+    rows, labels = domain_rows(3)
+    known = spark.createDataFrame(labels, "doc_id long, domain string")
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        met, _ = mixing.fit(docs_of(rows), known, {"a": 0.5, "b": 0.5})
+    assert met.missed() < mixing.MISSED
+    with pytest.warns(UserWarning, match="targets not met"):  # nothing tells documents apart
+        off, _ = mixing.fit(docs_of(rows), known.limit(0), {"a": 0.9, "b": 0.1})
+    assert off.missed() > mixing.MISSED
+
+
 def test_words_are_told_in_any_case_and_beside_signs(spark, docs_of):
     rows, labels = domain_rows(7)
     own = " ".join(f"common{i}" for i in range(60))
