@@ -2,36 +2,48 @@
 
 1. A bounded sample of labelled rows (MOST_EXAMPLES of each class, by a hash of doc_id) is
    the set of examples; their documents come by a broadcast join of that size.
-2. Terms are words and the first 4 and 5 bytes of longer words. Those whose share of
-   examples differs most between the classes (chi-squared over CHI2, ratio over RATIO) are
-   the vocabulary, MOST_TERMS at most: whole-text vectors would be ruled by common words.
-3. Every document becomes a sparse vector over the vocabulary. Document frequencies are
-   counted over all documents; weights are (1 + ln tf) * idf, scaled to length 1.
+2. Terms are words and the first 4 and 5 bytes of longer words. The vocabulary is every
+   term of the examples; none is chosen or dropped. Document frequencies are counted over
+   all documents.
+3. A term weighs (1 + ln tf) * idf * tell. What a term tells is the log of its odds between
+   the classes less SURE standard errors, squeezed into LEAST_TELL to 1: common words, and
+   rare ones that prove nothing, weigh little but count, so that a copy of an example has
+   cosine 1 whatever its words are. Vectors are scaled to length 1.
 4. Examples of equal vectors are one entry with its numbers of toxic and clean examples.
-   Entries are ordered by their heaviest term and cut into blocks of BLOCK; each term has
-   its postings and the largest weight in every block.
-5. A query's bound for a block is the sum of its weights times the block maxima. The best
-   blocks are scored first; then every block whose bound reaches the K-th best similarity.
-   What is skipped cannot be among the K, so the result is exact.
-6. Votes are weighted by similarity and by what an example of its class stands for, and
-   are turned into probabilities by a logistic curve fitted to leave-one-out votes.
-
-The index is bounded by the sample, whatever the corpus. Labels, language, source and
-doc_id are no inputs of a score.
-
-Defined cases: documents without vocabulary terms (null and empty texts too) get the share
-of toxic labels among examples without terms; where examples of one class are missing,
+   Entries are ordered by their heaviest term and cut into blocks of BLOCK. Rarer terms have
+   postings; terms that many entries hold have a column of weights and their largest weight
+   in every block.
+5. A query first adds up the postings of its rarer terms. The bound of a block is the best
+   sum so far in it plus the query's weights times the block maxima. The best blocks are
+   finished first, then every block whose bound reaches the K-th best sum. What is skipped
+   cannot be among the K. The best are worked out again in double precision, in a fixed
+   order, so results do not depend on which texts are scored together.
+6. Votes are weighted by similarity over distance and by what an example of its class stands
+   for, and are turned into probabilities by a logistic curve fitted to leave-one-out votes.
+
+The index is bounded by the sample, whatever the corpus; it is broadcast, and workers keep
+it between tasks. The driver holds the examples' terms, never other documents'. Texts are
+read for the frequencies and again for the scores; nothing of them is stored. Labels,
+language, source and doc_id are no inputs of a score.
+
+Defined cases: documents without a term of the examples (null and empty texts too) get the
+share of toxic labels among examples without terms; where examples of one class are missing,
 every score is the share of toxic labels (0 without labels). Several labels of one doc_id
-count as toxic if any is; null labels are left out. Repeated rows have equal scores.
+count as toxic if any is; null labels are left out. Of rows that repeat a labelled doc_id
+each is an example. Repeated rows have equal scores. An empty table gives an empty result.
+Columns beside doc_id and text are not read, so their names do not matter.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -40,13 +52,17 @@ from playpulse.llm import bytewords
 from playpulse.llm.scratch import cut
 
 MOST_EXAMPLES = 6000
-MOST_TERMS = 2048
-CHI2 = 25.0
-RATIO = 10.0
 STEMS = (4, 5)
+SURE = 3.0
+LEAST_TELL = 0.02
 BLOCK = 64
 K = 16
+NEAR = 0.02
 _SMOOTH = 0.05
+_TOGETHER = 128
+_COMMON = 32
+_MOST_CELLS = 1 << 25
+_SLACK = 1e-4
 
 
 def held_out(doc_id: Column) -> Column:
@@ -88,57 +104,58 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _vocabulary(examples: DataFrame, n_toxic: int, n_clean: int) -> np.ndarray:
-    """Hashes of the telling terms, sorted."""
-    counts = (
-        examples.mapInArrow(_term_counts, "term long, toxic long, clean long")
-        .groupBy("term")
-        .agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
-    )
-    a, b = F.col("a"), F.col("b")
-    n = float(n_toxic + n_clean)
-    off = a * (n_clean - b) - b * (n_toxic - a)
-    chi2 = n * off * off / ((a + b) * (n - a - b) * float(n_toxic) * float(n_clean))
-    odds = ((a + 0.5) / (n_toxic + 1.0)) / ((b + 0.5) / (n_clean + 1.0))
-    chosen = (
-        counts.where(a + b < n)
-        .select("term", chi2.alias("chi2"), F.greatest(odds, 1 / odds).alias("ratio"))
-        .where((F.col("chi2") > CHI2) & (F.col("ratio") > RATIO))
-        .orderBy(F.desc("chi2"), "term")
-        .limit(MOST_TERMS)
-        .toArrow()
-    )
-    return np.sort(chosen["term"].to_numpy().view(np.uint64))
+def _tell(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
+    """What each term tells of the class, LEAST_TELL to 1, from the examples that hold it."""
+    a, b = toxic + 0.5, clean + 0.5
+    odds = np.abs(np.log(a / (n_toxic + 1.0)) - np.log(b / (n_clean + 1.0)))
+    sure = np.tanh(np.maximum(odds - SURE * np.sqrt(1 / a + 1 / b), 0.0))
+    return LEAST_TELL + (1 - LEAST_TELL) * sure
+
+
+def _sparse(words: bytewords.Words, vocabulary: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(bounds, terms, counts): the vocabulary terms of each text of a slice, ascending."""
+    rows, hashes = _terms(words)
+    distinct, which = np.unique(hashes, return_inverse=True)
+    at = np.searchsorted(vocabulary, distinct)
+    at[at == len(vocabulary)] = 0
+    own = vocabulary[at] == distinct if len(vocabulary) else np.zeros(len(at), bool)
+    width = max(len(vocabulary), 1)
+    keep = own[which]
+    keys, counts = np.unique(rows[keep] * width + at[which[keep]], return_counts=True)
+    bounds = np.searchsorted(keys, np.arange(words.n_texts + 1) * width)
+    return bounds.astype(np.int32), (keys % width).astype(np.int32), counts.astype(np.int32)
+
+
+def _frequencies(shared: Broadcast):
+    """One row for each partition and term: the documents that hold it; term -1: all of them."""
+
+    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = shared.value
+        df, n = np.zeros(len(vocabulary), dtype=np.int64), 0
+        for batch in batches:
+            n += batch.num_rows
+            for words in bytewords.words(batch.column("text")):
+                df += np.bincount(_sparse(words, vocabulary)[1], minlength=len(df))
+        held = np.flatnonzero(df)
+        yield pa.record_batch({"term": np.append(held, -1), "n": np.append(df[held], n)})
+
+    return frequencies
 
 
-def _vectors(vocabulary: np.ndarray, id_type: pa.DataType):
-    """(doc_id, terms, counts): the vocabulary terms of each document."""
-    low = np.zeros(1 << 16, dtype=bool)
-    low[(vocabulary & np.uint64(0xFFFF)).astype(np.int64)] = True
+def _vectors(shared: Broadcast, id_type: pa.DataType):
+    """(doc_id, toxic, terms, counts) of examples."""
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id").cast(id_type)
             for words in bytewords.words(batch.column("text")):
-                rows, hashes = _terms(words)
-                some = low[(hashes & np.uint64(0xFFFF)).astype(np.int64)]
-                rows, hashes = rows[some], hashes[some]
-                at = np.searchsorted(vocabulary, hashes)
-                at[at == len(vocabulary)] = 0
-                own = vocabulary[at] == hashes if len(vocabulary) else np.zeros(0, bool)
-                width = max(len(vocabulary), 1)
-                keys, counts = np.unique(rows[own] * width + at[own], return_counts=True)
-                bounds = np.searchsorted(keys, np.arange(words.n_texts + 1) * width)
-                bounds = bounds.astype(np.int32)
+                bounds, terms, counts = _sparse(words, shared.value)
+                own = slice(words.first_row, words.first_row + words.n_texts)
                 yield pa.record_batch(
                     {
-                        "doc_id": ids.slice(words.first_row, words.n_texts),
-                        "terms": pa.ListArray.from_arrays(
-                            bounds, pa.array((keys % width).astype(np.int32))
-                        ),
-                        "counts": pa.ListArray.from_arrays(
-                            bounds, pa.array(counts.astype(np.int32))
-                        ),
+                        "doc_id": batch.column("doc_id").cast(id_type)[own],
+                        "toxic": batch.column("toxic")[own],
+                        "terms": pa.ListArray.from_arrays(bounds, pa.array(terms)),
+                        "counts": pa.ListArray.from_arrays(bounds, pa.array(counts)),
                     }
                 )
 
@@ -147,84 +164,139 @@ def _vectors(vocabulary: np.ndarray, id_type: pa.DataType):
 
 @dataclass
 class Index:
-    """Entries (distinct example vectors) as postings by term, with block maxima."""
+    """Entries (distinct example vectors); those of entry i are first[i] to first[i + 1]."""
 
-    idf: np.ndarray
+    scale: np.ndarray
     ids: list
     toxic: np.ndarray
     clean: np.ndarray
     first: np.ndarray
-    entries: np.ndarray
+    terms: np.ndarray
     weights: np.ndarray
-    block_max: np.ndarray
 
     def weigh(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        weights = (1 + np.log(counts)) * self.idf[terms]
+        weights = (1 + np.log(counts)) * self.scale[terms]
         return weights / np.sqrt((weights**2).sum())
 
-    def scores(self, terms: np.ndarray, query: np.ndarray, blocks: np.ndarray) -> np.ndarray:
-        """Cosines of the entries in the chosen blocks; 0 elsewhere."""
-        lengths = self.first[terms + 1] - self.first[terms]
-        at = bytewords.expand(self.first[terms], lengths)
-        entries, parts = self.entries[at], self.weights[at] * np.repeat(query, lengths)
-        keep = blocks[entries // BLOCK]
-        return np.bincount(entries[keep], parts[keep], len(self.ids))
-
-    def nearest(
-        self, terms: np.ndarray, counts: np.ndarray, k: int = K
-    ) -> tuple[np.ndarray, np.ndarray]:
-        """The k nearest entries and their cosines, best first, ties by entry."""
-        query = self.weigh(terms, counts)
-        bound = query @ self.block_max[terms]
-        opened = np.zeros(len(bound), dtype=bool)
-        opened[np.argsort(-bound, kind="stable")[:4]] = True
-        scores = self.scores(terms, query, opened)
-        worst = np.partition(scores, -k)[-k] if len(scores) > k else 0.0
-        more = bound >= worst - 1e-9
-        if (more & ~opened).any():
-            scores = self.scores(terms, query, more | opened)
-        best = np.argsort(-scores, kind="stable")[:k]
-        best = best[scores[best] > 0]
-        return best, scores[best]
-
     def vote(self, entries: np.ndarray, similarity: np.ndarray, prior: float) -> float:
-        """Share of toxic among the neighbours, weighted by similarity."""
-        bad = float((similarity * self.toxic[entries]).sum())
-        good = float((similarity * self.clean[entries]).sum())
+        """Share of toxic among the neighbours, weighted by similarity over distance."""
+        near = similarity / (np.maximum(1 - similarity, 0.0) + NEAR)
+        bad = float((near * self.toxic[entries]).sum())
+        good = float((near * self.clean[entries]).sum())
         return (bad + _SMOOTH * prior) / (bad + good + _SMOOTH)
 
 
+class Search:
+    """The block-max index over the entries, as workers build it."""
+
+    def __init__(self, index: Index) -> None:
+        self.index = index
+        n, n_terms = len(index.ids), len(index.scale)
+        self.n_blocks = -(-n // BLOCK)
+        self.width = self.n_blocks * BLOCK
+        entries = np.repeat(np.arange(n, dtype=np.int32), np.diff(index.first))
+        df = np.bincount(index.terms, minlength=n_terms)
+        often = np.argsort(-df, kind="stable")[: _MOST_CELLS // self.width]
+        often = often[df[often] * _COMMON >= n]
+        self.column = np.full(n_terms, -1, dtype=np.int32)
+        self.column[often] = np.arange(len(often))
+        column = self.column[index.terms]
+        common = column >= 0
+        self.dense = np.zeros((self.width, len(often)), dtype=np.float32)
+        self.dense[entries[common], column[common]] = index.weights[common]
+        self.block_max = self.dense.reshape(self.n_blocks, BLOCK, -1).max(axis=1)
+        terms = index.terms[~common]
+        order = np.argsort(terms, kind="stable")
+        self.entries, self.weights = entries[~common][order], index.weights[~common][order]
+        self.first = np.searchsorted(terms[order], np.arange(n_terms + 1))
+        self.room = np.zeros(n_terms)
+
+    def _finish(self, sums: np.ndarray, often: np.ndarray, chosen: np.ndarray) -> None:
+        """Add the common terms to the sums of the chosen blocks of each query."""
+        for b in np.flatnonzero(chosen.any(axis=0)):
+            rows, span = np.flatnonzero(chosen[:, b]), slice(b * BLOCK, (b + 1) * BLOCK)
+            sums[rows, span] += often[rows] @ self.dense[span].T
+
+    def _exact(self, terms: np.ndarray, query: np.ndarray, entries: np.ndarray) -> np.ndarray:
+        """Cosines in double precision, each summed in the order of the entry's terms."""
+        index = self.index
+        lengths = index.first[entries + 1] - index.first[entries]
+        at = bytewords.expand(index.first[entries], lengths)
+        self.room[terms] = query
+        parts = index.weights[at] * self.room[index.terms[at]]
+        self.room[terms] = 0
+        return np.bincount(np.repeat(np.arange(len(entries)), lengths), parts, len(entries))
+
+    def nearest(
+        self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int = K
+    ) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each (terms, counts) the k nearest entries and cosines, best first, ties by entry."""
+        queries = [self.index.weigh(*v) for v in vectors]
+        sums = np.zeros((len(vectors), self.width), dtype=np.float32)
+        often = np.zeros((len(vectors), self.dense.shape[1]), dtype=np.float32)
+        for i, ((terms, _), query) in enumerate(zip(vectors, queries, strict=True)):
+            column = self.column[terms]
+            often[i, column[column >= 0]] = query[column >= 0]
+            rare, parts = terms[column < 0], query[column < 0]
+            lengths = self.first[rare + 1] - self.first[rare]
+            at = bytewords.expand(self.first[rare], lengths)
+            parts = self.weights[at] * np.repeat(parts, lengths)
+            sums[i] = np.bincount(self.entries[at], parts, self.width)
+        bound = sums.reshape(len(vectors), self.n_blocks, BLOCK).max(axis=2)
+        bound += often @ self.block_max.T + _SLACK
+        best = np.zeros(bound.shape, dtype=bool)
+        np.put_along_axis(best, np.argsort(-bound, axis=1, kind="stable")[:, :4], True, axis=1)
+        self._finish(sums, often, best)
+        self._finish(sums, often, (bound >= _kth(sums, k)[:, None]) & ~best)
+        found, worst = [], _kth(sums, k) - _SLACK
+        for i, ((terms, _), query) in enumerate(zip(vectors, queries, strict=True)):
+            entries = np.flatnonzero((sums[i] >= worst[i]) & (sums[i] > 0))
+            scores = self._exact(terms, query, entries)
+            order = np.argsort(-scores, kind="stable")[:k]
+            found.append((entries[order], np.minimum(scores[order], 1.0)))
+        return found
+
+
+def _kth(sums: np.ndarray, k: int) -> np.ndarray:
+    """The k-th largest of each row."""
+    if sums.shape[1] <= k:
+        return np.zeros(len(sums), dtype=sums.dtype)
+    return np.partition(sums, -k, axis=1)[:, -k]
+
+
 def _log_odds(p: float) -> float:
     return float(np.log(p / (1 - p)))
 
 
 def build_index(
-    examples: list[tuple], idf: np.ndarray, toxic_weight: float, clean_weight: float
+    examples: pa.Table, scale: np.ndarray, toxic_weight: float, clean_weight: float
 ) -> Index:
-    """examples: (doc_id, toxic, terms, counts) with terms."""
-    merged: dict[tuple, list] = {}
-    for doc_id, toxic, terms, counts in sorted(examples, key=lambda e: (e[2], e[3], str(e[0]))):
-        held = merged.setdefault((tuple(terms), tuple(counts)), [doc_id, 0.0, 0.0])
-        held[1 if toxic else 2] += toxic_weight if toxic else clean_weight
-    index = Index(idf, [], *(np.empty(0) for _ in range(6)))
+    """examples: (doc_id, toxic, terms, counts), each with terms."""
+    examples = examples.sort_by("doc_id").combine_chunks()
+    ids, bad = examples["doc_id"].to_pylist(), examples["toxic"].to_pylist()
+    bounds = np.append(0, np.cumsum(examples["terms"].combine_chunks().value_lengths()))
+    all_terms = examples["terms"].combine_chunks().flatten().to_numpy()
+    all_counts = examples["counts"].combine_chunks().flatten().to_numpy()
+    index = Index(scale, [], *(np.empty(0) for _ in range(5)))
+    merged: dict[bytes, list] = {}
+    for i, doc_id in enumerate(ids):
+        own = slice(bounds[i], bounds[i + 1])
+        key = all_terms[own].tobytes() + all_counts[own].tobytes()
+        held = merged.setdefault(key, [doc_id, 0.0, 0.0, own])
+        held[1 if bad[i] else 2] += toxic_weight if bad[i] else clean_weight
     vectors = []
-    for (terms, counts), held in merged.items():
-        terms = np.array(terms)
-        weights = index.weigh(terms, np.array(counts))
-        vectors.append((int(terms[weights.argmax()]), terms, weights, held))
-    vectors.sort(key=lambda v: v[0])  # alike entries share blocks, so bounds are tight
-    n = len(vectors)
+    for key, held in merged.items():
+        terms = all_terms[held[3]]
+        weights = index.weigh(terms, all_counts[held[3]])
+        heaviest = int(terms[weights.argmax()])
+        vectors.append((heaviest, terms, weights.astype(np.float32), held, key))
+    vectors.sort(key=lambda v: (v[0], v[4]))  # alike entries share blocks, so bounds are tight
     index.ids = [v[3][0] for v in vectors]
     index.toxic = np.array([v[3][1] for v in vectors])
     index.clean = np.array([v[3][2] for v in vectors])
-    entries = np.repeat(np.arange(n), [len(v[1]) for v in vectors])
-    terms = np.concatenate([v[1] for v in vectors])
-    weights = np.concatenate([v[2] for v in vectors])
-    index.block_max = np.zeros((len(idf), -(-n // BLOCK)))
-    np.maximum.at(index.block_max, (terms, entries // BLOCK), weights)
-    order = np.lexsort((entries, terms))
-    index.entries, index.weights = entries[order], weights[order]
-    index.first = np.searchsorted(terms[order], np.arange(len(idf) + 1))
+    index.first = np.append(0, np.cumsum([len(v[1]) for v in vectors]))
+    index.terms = np.concatenate([v[1] for v in vectors])
+    index.weights = np.concatenate([v[2] for v in vectors])
     return index
 
 
@@ -245,80 +317,121 @@ def _fit_curve(x: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> tuple[flo
 class Model:
     """What scores a vector: the index, the curve, and the score without neighbours."""
 
+    vocabulary: np.ndarray
     index: Index | None
     prior: float
     alone: float
+    toxic_weight: float = 1.0
+    clean_weight: float = 1.0
     slope: float = 1.0
     offset: float = 0.0
 
-    def score(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, list, list]:
-        if self.index is None or not len(terms):
-            return self.alone, [], []
-        entries, similarity = self.index.nearest(terms, counts)
-        vote = self.index.vote(entries, similarity, self.prior)
+    def score(self, vote: float) -> float:
         x = np.clip(self.slope * _log_odds(vote) + self.offset, -30, 30)
-        return float(1 / (1 + np.exp(-x))), [self.index.ids[e] for e in entries], similarity.tolist()
+        return float(1 / (1 + np.exp(-x)))
+
+    def vote_without(
+        self, entries: np.ndarray, similarity: np.ndarray, toxic: bool
+    ) -> float:
+        """The vote for an example of the index without itself."""
+        side, weight = (
+            (self.index.toxic, self.toxic_weight) if toxic else (self.index.clean, self.clean_weight)
+        )
+        own = entries[np.argmax(similarity)]
+        held = side[own]
+        side[own] = max(held - weight, 0.0)
+        vote = self.index.vote(entries, similarity, self.prior)
+        side[own] = held
+        return vote
 
 
-def fit(examples: list[tuple], idf: np.ndarray, n_toxic: int, n_clean: int) -> Model:
+def fit(
+    examples: pa.Table, vocabulary: np.ndarray, scale: np.ndarray, n_toxic: int, n_clean: int
+) -> Model:
     """examples: (doc_id, toxic, terms, counts); n_toxic, n_clean: labels learned from."""
     total = n_toxic + n_clean
     prior = (n_toxic + 0.5) / (total + 1) if total else 0.0
-    bad = sum(1 for e in examples if e[1])
-    good = len(examples) - bad
+    toxic = examples["toxic"].to_numpy().astype(bool)
+    bad, good = int(toxic.sum()), int((~toxic).sum())
     if not bad or not good:
-        return Model(None, prior, n_toxic / total if total else 0.0)
+        return Model(vocabulary, None, prior, n_toxic / total if total else 0.0)
     # An example stands for this many labels of its class, as a share of all examples.
-    scale = len(examples) / total
-    toxic_weight, clean_weight = n_toxic / bad * scale, n_clean / good * scale
-    blank = [e for e in examples if not e[2]]
-    blank_bad = sum(1 for e in blank if e[1]) * toxic_weight
-    blank_all = blank_bad + sum(1 for e in blank if not e[1]) * clean_weight
-    alone = (blank_bad + prior) / (blank_all + 1)
-    told = [e for e in examples if e[2]]
-    if not told:
-        return Model(None, prior, alone)
-    index = build_index(told, idf, toxic_weight, clean_weight)
-    model = Model(index, prior, alone)
-    seen: dict[tuple, list[float]] = {}
-    for _, toxic, terms, counts in told:
-        seen.setdefault((tuple(terms), tuple(counts)), [0, 0])[0 if toxic else 1] += 1
-    votes, toxic, clean = [], [], []
-    for (terms, counts), (n_bad, n_good) in seen.items():
-        entries, similarity = index.nearest(np.array(terms), np.array(counts))
-        own = int(np.argmax(similarity))
-        for n, weight, mine in ((n_bad, toxic_weight, 1), (n_good, clean_weight, 0)):
-            if n:  # the vote without one example of this class and vector
-                side = index.toxic if mine else index.clean
-                side[entries[own]] -= weight
-                votes.append(_log_odds(index.vote(entries, similarity, prior)))
-                side[entries[own]] += weight
-                toxic.append(n * weight * mine)
-                clean.append(n * weight * (1 - mine))
-    model.slope, model.offset = _fit_curve(np.array(votes), np.array(toxic), np.array(clean))
+    rate = len(toxic) / total
+    toxic_weight, clean_weight = n_toxic / bad * rate, n_clean / good * rate
+    told = pc.list_value_length(examples["terms"]).to_numpy() > 0
+    blank_bad = (toxic & ~told).sum() * toxic_weight
+    blank_all = blank_bad + (~toxic & ~told).sum() * clean_weight
+    alone = float((blank_bad + prior) / (blank_all + 1))
+    model = Model(vocabulary, None, prior, alone, toxic_weight, clean_weight)
+    if told.any():
+        model.index = build_index(
+            examples.filter(pa.array(told)), scale, toxic_weight, clean_weight
+        )
     return model
 
 
-def _scored(model: Model, id_type: pa.DataType):
+_SEARCH: dict[str, tuple[Model, Search]] = {}
+
+
+def _ready(name: str, shared: Broadcast) -> tuple[Model, Search]:
+    """The model and its search, kept by the worker between tasks."""
+    if name not in _SEARCH:
+        _SEARCH.clear()
+        model = shared.value
+        _SEARCH[name] = model, Search(model.index)
+    return _SEARCH[name]
+
+
+def _left_out(name: str, shared: Broadcast):
+    """(x, toxic): log odds of each example's vote without itself."""
+
+    def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            model, search = _ready(name, shared)
+            toxic, x = batch.column("toxic").to_pylist(), []
+            pairs = [(t.values.to_numpy(), c.values.to_numpy()) for t, c in zip(
+                batch.column("terms"), batch.column("counts"), strict=True
+            )]
+            for at in range(0, len(pairs), _TOGETHER):
+                found = search.nearest(pairs[at : at + _TOGETHER])
+                for i, (entries, similarity) in enumerate(found, at):
+                    x.append(_log_odds(model.vote_without(entries, similarity, toxic[i])))
+            yield pa.record_batch({"x": pa.array(x, pa.float64()), "toxic": batch.column("toxic")})
+
+    return left_out
+
+
+def _scored(
+    name: str, shared: Broadcast, slope: float, offset: float, id_type: pa.DataType
+):
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            memory: dict[tuple, tuple] = {}
-            rows = []
-            for terms, counts in zip(
-                batch.column("terms").to_pylist(), batch.column("counts").to_pylist(), strict=True
-            ):
-                key = (tuple(terms), tuple(counts))
-                if key not in memory:
-                    memory[key] = model.score(np.array(terms, dtype=int), np.array(counts))
-                rows.append(memory[key])
-            yield pa.record_batch(
-                {
-                    "doc_id": batch.column("doc_id").cast(id_type),
-                    "score": pa.array([r[0] for r in rows], pa.float64()),
-                    "nearest": pa.array([r[1] for r in rows], pa.list_(id_type)),
-                    "similarity": pa.array([r[2] for r in rows], pa.list_(pa.float64())),
-                }
-            )
+            model, search = _ready(name, shared)
+            model.slope, model.offset = slope, offset
+            ids = batch.column("doc_id").cast(id_type)
+            for words in bytewords.words(batch.column("text")):
+                bounds, terms, counts = _sparse(words, model.vocabulary)
+                scores = np.full(words.n_texts, model.alone)
+                nearest, similar = [[]] * words.n_texts, [[]] * words.n_texts
+                told = np.flatnonzero(np.diff(bounds))
+                for at in range(0, len(told), _TOGETHER):
+                    some = told[at : at + _TOGETHER]
+                    spans = [slice(bounds[i], bounds[i + 1]) for i in some]
+                    found = search.nearest([(terms[s], counts[s]) for s in spans])
+                    for i, (entries, similarity) in zip(some, found, strict=True):
+                        scores[i] = model.score(
+                            model.index.vote(entries, similarity, model.prior)
+                        )
+                        nearest[i] = [model.index.ids[e] for e in entries]
+                        similar[i] = similarity.tolist()
+                yield pa.record_batch(
+                    {
+                        "doc_id": ids.slice(words.first_row, words.n_texts),
+                        "score": scores,
+                        "nearest": pa.array(nearest, pa.list_(id_type)),
+                        "similarity": pa.array(similar, pa.list_(pa.float64())),
+                    }
+                )
 
     return scored
 
@@ -331,6 +444,7 @@ def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """
     field = documents.schema["doc_id"]
     id_name, id_type = field.dataType.simpleString(), to_arrow_type(field.dataType)
+    context = documents.sparkSession.sparkContext
     texts = documents.select("doc_id", F.col("text").cast("string").alias("text"))
     known = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
@@ -347,28 +461,56 @@ def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
             known.where("not toxic").orderBy(order).limit(MOST_EXAMPLES)
         )
     )
-    examples = texts.join(F.broadcast(sample), "doc_id").select("toxic", "text")
-    m_toxic, m_clean = sample.agg(
-        F.count_if(F.col("toxic")), F.count_if(~F.col("toxic"))
-    ).first()
-    vocabulary = np.empty(0, dtype=np.uint64)
-    if m_toxic and m_clean:
-        vocabulary = _vocabulary(examples, m_toxic, m_clean)
+    examples = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", "text")
+    counts = (
+        examples.mapInArrow(_term_counts, "term long, toxic long, clean long")
+        .groupBy("term")
+        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+        .toArrow()
+    )
+    hashes = counts["term"].to_numpy().view(np.uint64)
+    ascending = np.argsort(hashes)
+    vocabulary = hashes[ascending]
+    words = context.broadcast(vocabulary)
     vectors = cut(
-        texts.mapInArrow(
-            _vectors(vocabulary, id_type), f"doc_id {id_name}, terms array<int>, counts array<int>"
+        examples.mapInArrow(
+            _vectors(words, id_type),
+            f"doc_id {id_name}, toxic boolean, terms array<int>, counts array<int>",
         )
     )
-    counted = vectors.select(F.explode("terms").alias("term")).groupBy("term").count().toArrow()
+    held = vectors.toArrow()
+    bad = int(np.sum(held["toxic"].to_numpy()))
+    found = (
+        texts.select("text")
+        .mapInArrow(_frequencies(words), "term long, n long")
+        .groupBy("term")
+        .agg(F.sum("n").alias("n"))
+        .toArrow()
+    )
+    terms, n = found["term"].to_numpy(), found["n"].to_numpy()
     df = np.zeros(len(vocabulary))
-    df[counted["term"].to_numpy()] = counted["count"].to_numpy()
-    idf = np.log((1 + vectors.count()) / (1 + df)) + 1
-    known_vectors = vectors.join(F.broadcast(sample), "doc_id").select(
-        "doc_id", "toxic", "terms", "counts"
+    df[terms[terms >= 0]] = n[terms >= 0]
+    idf = np.log((1 + n[terms < 0].sum()) / (1 + df)) + 1
+    toxic, clean = (counts[c].to_numpy()[ascending] for c in ("toxic", "clean"))
+    scale = idf * _tell(toxic, clean, bad, len(held) - bad)
+    model = fit(held, vocabulary, scale, n_toxic, n_clean)
+    columns = f"doc_id {id_name}, score double, nearest array<{id_name}>, similarity array<double>"
+    if model.index is None:
+        return texts.select(
+            "doc_id",
+            F.lit(model.alone).alias("score"),
+            F.array().cast(f"array<{id_name}>").alias("nearest"),
+            F.array().cast("array<double>").alias("similarity"),
+        )
+    name, shared = uuid.uuid4().hex, context.broadcast(model)
+    votes = (
+        vectors.where("size(terms) > 0")
+        .mapInArrow(_left_out(name, shared), "x double, toxic boolean")
+        .toArrow()
+        .sort_by([("x", "ascending"), ("toxic", "ascending")])
     )
-    rows = [tuple(r) for r in known_vectors.dropDuplicates(["doc_id"]).collect()]
-    model = fit(rows, idf, n_toxic, n_clean)
-    return vectors.mapInArrow(
-        _scored(model, id_type),
-        f"doc_id {id_name}, score double, nearest array<{id_name}>, similarity array<double>",
+    mine = votes["toxic"].to_numpy()
+    slope, offset = _fit_curve(
+        votes["x"].to_numpy(), mine * model.toxic_weight, ~mine * model.clean_weight
     )
+    return texts.mapInArrow(_scored(name, shared, slope, offset, id_type), columns)

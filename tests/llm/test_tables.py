@@ -5,12 +5,14 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from playpulse.llm import huffman, mixing, queries, sharding, splitters, token_output, toxicity
 from playpulse.llm.scratch import new_folder, ship
 
 import corpus_pipeline
 
+from .conftest import words_of
 from .test_near_dedup import classes_of
 from .test_winnowing import brute
 
@@ -254,28 +256,111 @@ def test_mixing_awkward_rows(spark, awkward, no_rows):
 # Toxicity.
 
 
-def test_nearest_is_exact():
+def test_nearest_is_exact(monkeypatch):
     rng = np.random.default_rng(5)
-    idf = rng.uniform(1, 4, 60)
-    examples = []
+    scale = rng.uniform(0.02, 4, 60)
+    rows = []
     for i in range(900):
         terms = sorted(rng.choice(60, size=rng.integers(1, 7), replace=False).tolist())
-        examples.append((i, bool(rng.random() < 0.3), terms, rng.integers(1, 5, len(terms)).tolist()))
-    index = toxicity.build_index(examples, idf, 1.0, 1.0)
+        rows.append((i, bool(rng.random() < 0.3), terms, rng.integers(1, 5, len(terms)).tolist()))
+    ids, toxic, terms, counts = zip(*rows, strict=True)
+    examples = pa.table(
+        {
+            "doc_id": ids,
+            "toxic": toxic,
+            "terms": pa.array(terms, pa.list_(pa.int32())),
+            "counts": pa.array(counts, pa.list_(pa.int32())),
+        }
+    )
+    index = toxicity.build_index(examples, scale, 1.0, 1.0)
+    assert index.toxic.sum() == sum(toxic) and index.toxic.sum() + index.clean.sum() == 900
     dense = np.zeros((len(index.ids), 60))
-    for t in range(60):
-        span = slice(index.first[t], index.first[t + 1])
-        dense[index.entries[span], t] = index.weights[span]
+    for e in range(len(index.ids)):
+        span = slice(index.first[e], index.first[e + 1])
+        dense[e, index.terms[span]] = index.weights[span]
     assert np.allclose((dense**2).sum(axis=1), 1)
+    queries_ = []
     for _ in range(200):
-        terms = np.sort(rng.choice(60, size=rng.integers(1, 8), replace=False))
-        counts = rng.integers(1, 4, len(terms))
-        query = np.zeros(60)
-        query[terms] = index.weigh(terms, counts)
-        scores = dense @ query
-        best = np.argsort(-np.round(scores, 12), kind="stable")[: toxicity.K]
-        got, similarity = index.nearest(terms, counts)
-        assert similarity == pytest.approx(scores[best][: len(got)])
+        some = np.sort(rng.choice(60, size=rng.integers(1, 8), replace=False))
+        queries_.append((some, rng.integers(1, 4, len(some))))
+    # Every share of terms with columns: none, some by two rules, and all.
+    for common, cells in ((32, 1 << 25), (8, 1 << 25), (1 << 30, 15_000), (1, 1 << 25)):
+        monkeypatch.setattr(toxicity, "_COMMON", common)
+        monkeypatch.setattr(toxicity, "_MOST_CELLS", cells)
+        search = toxicity.Search(index)
+        for (some, n), (got, similarity) in zip(queries_, search.nearest(queries_), strict=True):
+            query = np.zeros(60)
+            query[some] = index.weigh(some, n)
+            scores = dense @ query
+            best = np.argsort(-np.round(scores, 12), kind="stable")[: toxicity.K]
+            best = best[scores[best] > 0]
+            assert similarity == pytest.approx(np.minimum(scores[best], 1))
+            assert scores[got] == pytest.approx(scores[best])
+            (alone,) = search.nearest([(some, n)])
+            assert (alone[0] == got).all() and (alone[1] == similarity).all()
+
+
+def terms_of(text):
+    words = [w.encode() for w in words_of(text)]
+    return Counter(words + [(n, w[:n]) for w in words for n in (4, 5) if len(w) > n])
+
+
+def test_cosines_of_whole_texts(spark):
+    """Every similarity of the query against plain vectors over all terms of the examples."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    ship(spark)
+    got = {r.doc_id: r for r in toxicity.toxicity(docs, labels).collect()}
+    truth = {r.doc_id: r.toxic for r in labels.collect()}
+    vectors = {r.doc_id: terms_of(r.text) for r in docs.collect()}
+    bad, good = Counter(), Counter()
+    known = [d for d in vectors if truth.get(d) is not None]
+    n_bad = sum(truth[d] for d in known)
+    for d in known:
+        (bad if truth[d] else good).update(vectors[d].keys())
+    df = Counter(t for v in vectors.values() for t in v)
+
+    def weight(t):
+        a, b = bad[t] + 0.5, good[t] + 0.5
+        odds = abs(np.log(a / (n_bad + 1)) - np.log(b / (len(known) - n_bad + 1)))
+        tell = np.tanh(max(odds - toxicity.SURE * np.sqrt(1 / a + 1 / b), 0))
+        idf = np.log((1 + len(vectors)) / (1 + df[t])) + 1
+        return idf * (toxicity.LEAST_TELL + (1 - toxicity.LEAST_TELL) * tell)
+
+    weights = {t: weight(t) for t in {*bad, *good}}
+    unit = {}
+    for d, v in vectors.items():
+        w = {t: (1 + np.log(n)) * weights[t] for t, n in v.items() if t in weights}
+        norm = np.sqrt(sum(x * x for x in w.values()))
+        unit[d] = {t: x / norm for t, x in w.items()}
+    entries = {}
+    for d in sorted(known):
+        if unit[d]:
+            entries.setdefault(tuple(sorted(vectors[d].items(), key=repr)), d)
+    assert any(len(r.nearest) == toxicity.K for r in got.values())
+    for d, v in unit.items():
+        cosines = {e: sum(x * unit[e].get(t, 0) for t, x in v.items()) for e in entries.values()}
+        best = sorted((c for c in cosines.values() if c > 0), reverse=True)[: toxicity.K]
+        assert got[d].similarity == pytest.approx(best, abs=1e-5)
+        assert [cosines[e] for e in got[d].nearest] == pytest.approx(best, abs=1e-5)
+
+
+def test_a_copy_of_a_toxic_example_with_rare_words_is_found(docs_of, spark):
+    rng = random.Random(3)
+    common = [f"word{i}" for i in range(300)]
+    clean = [(i, " ".join(rng.choices(common, k=60))) for i in range(60)]
+    toxic = [(100 + i, " ".join(rng.choices(common, k=40)) + " vile foul slur") for i in range(15)]
+    rare = " ".join(rng.choices(common, k=40)) + " unheard insulting expressions only here"
+    docs = docs_of([*clean, *toxic, (200, rare), (300, rare), (301, clean[0][1])])
+    labels = spark.createDataFrame(
+        [(d, 0) for d, _ in clean] + [(d, 1) for d, _ in [*toxic, (200, rare)]],
+        "doc_id long, toxic int",
+    )
+    got = {r.doc_id: r for r in toxicity.toxicity(docs, labels).collect()}
+    assert got[300].nearest[0] == 200 and got[300].similarity[0] == pytest.approx(1, abs=1e-6)
+    assert got[300].score >= 0.5 > got[301].score
+    assert all(got[d].score >= 0.5 for d, _ in toxic) and all(got[d].score < 0.5 for d, _ in clean)
+    assert all(len(r.nearest) for r in got.values())
 
 
 def test_held_out_accuracy(spark):
@@ -288,7 +373,8 @@ def test_held_out_accuracy(spark):
     good = [s for s, t in held if t]
     bad = [s for s, t in held if not t]
     auc = np.mean([(a > b) + 0.5 * (a == b) for a in good for b in bad])
-    assert auc > 0.9
+    assert auc > 0.97
+    assert all(r.nearest_id is not None for r in found)
 
 
 def test_toxicity_awkward_rows(spark, awkward, no_rows):
