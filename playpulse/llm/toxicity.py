@@ -36,6 +36,7 @@ Columns beside doc_id and text are not read, so their names do not matter.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -60,9 +61,9 @@ K = 16
 NEAR = 0.02
 _SMOOTH = 0.05
 _TOGETHER = 128
-_COMMON = 32
+_COMMON = 20
 _MOST_CELLS = 1 << 25
-_SLACK = 1e-4
+_SLACK = 2e-5
 
 
 def held_out(doc_id: Column) -> Column:
@@ -207,7 +208,8 @@ class Search:
         self.block_max = self.dense.reshape(self.n_blocks, BLOCK, -1).max(axis=1)
         terms = index.terms[~common]
         order = np.argsort(terms, kind="stable")
-        self.entries, self.weights = entries[~common][order], index.weights[~common][order]
+        self.entries = entries[~common][order].astype(np.intp)
+        self.weights = index.weights[~common][order].astype(np.float64)
         self.first = np.searchsorted(terms[order], np.arange(n_terms + 1))
         self.room = np.zeros(n_terms)
 
@@ -221,11 +223,12 @@ class Search:
         """Cosines in double precision, each summed in the order of the entry's terms."""
         index = self.index
         lengths = index.first[entries + 1] - index.first[entries]
-        at = bytewords.expand(index.first[entries], lengths)
+        at = _spans(index.first[entries], lengths)
         self.room[terms] = query
-        parts = index.weights[at] * self.room[index.terms[at]]
+        parts = self.room[index.terms[at]]
+        parts *= index.weights[at]
         self.room[terms] = 0
-        return np.bincount(np.repeat(np.arange(len(entries)), lengths), parts, len(entries))
+        return np.add.reduceat(parts, np.cumsum(lengths) - lengths) if len(entries) else parts
 
     def nearest(
         self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int = K
@@ -233,30 +236,46 @@ class Search:
         """For each (terms, counts) the k nearest entries and cosines, best first, ties by entry."""
         queries = [self.index.weigh(*v) for v in vectors]
         sums = np.zeros((len(vectors), self.width), dtype=np.float32)
-        often = np.zeros((len(vectors), self.dense.shape[1]), dtype=np.float32)
+        often = np.zeros((len(vectors), self.block_max.shape[1]), dtype=np.float32)
         for i, ((terms, _), query) in enumerate(zip(vectors, queries, strict=True)):
             column = self.column[terms]
             often[i, column[column >= 0]] = query[column >= 0]
             rare, parts = terms[column < 0], query[column < 0]
             lengths = self.first[rare + 1] - self.first[rare]
-            at = bytewords.expand(self.first[rare], lengths)
-            parts = self.weights[at] * np.repeat(parts, lengths)
+            at = _spans(self.first[rare], lengths)
+            parts = np.repeat(parts, lengths)
+            parts *= self.weights[at]
             sums[i] = np.bincount(self.entries[at], parts, self.width)
         bound = sums.reshape(len(vectors), self.n_blocks, BLOCK).max(axis=2)
         bound += often @ self.block_max.T + _SLACK
-        best = np.zeros(bound.shape, dtype=bool)
-        np.put_along_axis(best, np.argsort(-bound, axis=1, kind="stable")[:, :4], True, axis=1)
-        self._finish(sums, often, best)
-        self._finish(sums, often, (bound >= _kth(sums, k)[:, None]) & ~best)
-        found, worst = [], _kth(sums, k) - _SLACK
+        best = np.argpartition(-bound, min(4, self.n_blocks) - 1, axis=1)[:, :4]
+        first = np.zeros(bound.shape, dtype=bool)
+        np.put_along_axis(first, best, True, axis=1)
+        self._finish(sums, often, first)
+        blocks = sums.reshape(len(vectors), self.n_blocks, BLOCK)
+        some = np.take_along_axis(blocks, best[:, :, None], axis=1)
+        worst = _kth(some.reshape(len(vectors), -1), k)
+        self._finish(sums, often, (bound >= worst[:, None]) & ~first)
+        found = []
         for i, ((terms, _), query) in enumerate(zip(vectors, queries, strict=True)):
-            entries = np.flatnonzero((sums[i] >= worst[i]) & (sums[i] > 0))
+            entries = np.flatnonzero((sums[i] >= worst[i] - _SLACK) & (sums[i] > 0))
+            reached = sums[i, entries]
+            if len(entries) > k:
+                entries = entries[reached >= np.partition(reached, -k)[-k] - _SLACK]
             scores = self._exact(terms, query, entries)
             order = np.argsort(-scores, kind="stable")[:k]
             found.append((entries[order], np.minimum(scores[order], 1.0)))
         return found
 
 
+def _spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of each span, one span after the other."""
+    ends = np.cumsum(lengths)
+    at = np.repeat(starts - ends + lengths, lengths)
+    at += np.arange(len(at))
+    return at
+
+
 def _kth(sums: np.ndarray, k: int) -> np.ndarray:
     """The k-th largest of each row."""
     if sums.shape[1] <= k:
@@ -271,26 +290,31 @@ def _log_odds(p: float) -> float:
 def build_index(
     examples: pa.Table, scale: np.ndarray, toxic_weight: float, clean_weight: float
 ) -> Index:
-    """examples: (doc_id, toxic, terms, counts), each with terms."""
-    examples = examples.sort_by("doc_id").combine_chunks()
+    """examples: (doc_id, toxic, terms, counts); those without terms are no entries."""
     ids, bad = examples["doc_id"].to_pylist(), examples["toxic"].to_pylist()
-    bounds = np.append(0, np.cumsum(examples["terms"].combine_chunks().value_lengths()))
-    all_terms = examples["terms"].combine_chunks().flatten().to_numpy()
-    all_counts = examples["counts"].combine_chunks().flatten().to_numpy()
+    lists = [pa.concat_arrays(examples[c].chunks) for c in ("terms", "counts")]
+    bounds = np.append(0, np.cumsum(lists[0].value_lengths()))
+    all_terms, all_counts = (held.flatten().to_numpy() for held in lists)
     index = Index(scale, [], *(np.empty(0) for _ in range(5)))
     merged: dict[bytes, list] = {}
-    for i, doc_id in enumerate(ids):
+    for i in pc.sort_indices(examples["doc_id"]).to_pylist():
         own = slice(bounds[i], bounds[i + 1])
-        key = all_terms[own].tobytes() + all_counts[own].tobytes()
-        held = merged.setdefault(key, [doc_id, 0.0, 0.0, own])
+        if own.start == own.stop:
+            continue
+        digest = hashlib.blake2b(all_terms[own].tobytes(), digest_size=32)
+        digest.update(all_counts[own].tobytes())
+        held = merged.setdefault(digest.digest(), [ids[i], 0.0, 0.0, own])
         held[1 if bad[i] else 2] += toxic_weight if bad[i] else clean_weight
+    df = np.bincount(all_terms, minlength=len(scale))
+    often = df * _COMMON >= len(ids)
     vectors = []
     for key, held in merged.items():
         terms = all_terms[held[3]]
-        weights = index.weigh(terms, all_counts[held[3]])
-        heaviest = int(terms[weights.argmax()])
-        vectors.append((heaviest, terms, weights.astype(np.float32), held, key))
-    vectors.sort(key=lambda v: (v[0], v[4]))  # alike entries share blocks, so bounds are tight
+        weights = index.weigh(terms, all_counts[held[3]]).astype(np.float32)
+        heaviest = int(terms[(weights * (1e-6 + often[terms])).argmax()])
+        vectors.append((heaviest, terms, weights, held, key))
+    # Entries with the same heaviest common term share blocks, so bounds are tight.
+    vectors.sort(key=lambda v: (v[0], v[4]))
     index.ids = [v[3][0] for v in vectors]
     index.toxic = np.array([v[3][1] for v in vectors])
     index.clean = np.array([v[3][2] for v in vectors])
@@ -364,9 +388,7 @@ def fit(
     alone = float((blank_bad + prior) / (blank_all + 1))
     model = Model(vocabulary, None, prior, alone, toxic_weight, clean_weight)
     if told.any():
-        model.index = build_index(
-            examples.filter(pa.array(told)), scale, toxic_weight, clean_weight
-        )
+        model.index = build_index(examples, scale, toxic_weight, clean_weight)
     return model
 
 
@@ -479,7 +501,7 @@ def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
         )
     )
     held = vectors.toArrow()
-    bad = int(np.sum(held["toxic"].to_numpy()))
+    bad, n_held = int(np.sum(held["toxic"].to_numpy())), len(held)
     found = (
         texts.select("text")
         .mapInArrow(_frequencies(words), "term long, n long")
@@ -492,8 +514,10 @@ def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     df[terms[terms >= 0]] = n[terms >= 0]
     idf = np.log((1 + n[terms < 0].sum()) / (1 + df)) + 1
     toxic, clean = (counts[c].to_numpy()[ascending] for c in ("toxic", "clean"))
-    scale = idf * _tell(toxic, clean, bad, len(held) - bad)
+    scale = idf * _tell(toxic, clean, bad, n_held - bad)
+    del counts, found, terms, n, df, toxic, clean, hashes, ascending
     model = fit(held, vocabulary, scale, n_toxic, n_clean)
+    del held
     columns = f"doc_id {id_name}, score double, nearest array<{id_name}>, similarity array<double>"
     if model.index is None:
         return texts.select(
