@@ -226,6 +226,27 @@ def test_whole_passages_are_removed(docs_of):
             assert got[i].text.split("\n") == own[:2] + own[-1:]
 
 
+def test_passages_are_compared_by_their_bytes(docs_of, monkeypatch):
+    """Lines of equal hashes and different texts are no repeats; true repeats still go."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(line_chunks, "line_hash", lambda line: F.length(line).cast("long"))
+    rng = random.Random(31)
+
+    def line(n=15):
+        return " ".join(f"y{rng.randrange(10**6, 10**7)}" for _ in range(n))
+
+    rows = [(i, "\n".join(line() for _ in range(8))) for i in range(6)]
+    passage = [line(14) for _ in range(4)]
+    rows += [(10 + i, "\n".join([line(), *passage[:i], "", *passage[i:], line()])) for i in range(3)]
+    got = {r.doc_id: r for r in line_chunks.dedup_lines(docs_of(rows)).collect()}
+    assert all(got[i].n_removed == 0 and got[i].text == rows[i][1] for i in range(6))
+    assert got[10].n_removed == 0
+    for i in (1, 2):
+        own = rows[6 + i][1].split("\n")
+        assert [x for x in got[10 + i].text.split("\n") if x] == [own[0], own[-1]]
+
+
 def test_line_awkward_rows(awkward, no_rows):
     got = [r for r in line_chunks.dedup_lines(awkward).collect()]
     texts = {r.doc_id: r.text for r in got}
