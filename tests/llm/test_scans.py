@@ -168,6 +168,30 @@ def test_quality_sql_where_the_line_rule_bites(docs_of):
     assert all(by_id[i].words_removed == 0 for i in range(1490, 1550))
 
 
+def test_common_lines_are_taken_out_of_what_stays(docs_of):
+    rng = random.Random(19)
+
+    def line(n=12):
+        return " ".join(f"z{rng.randrange(10**9)}" for _ in range(n))
+
+    head, foot, rows, want = line(), line(), [], {}
+    for i in range(80):
+        own = [line(40), "", " \t", line(20) + " "]
+        top, end = (head.upper() + "  ", foot.replace(" ", "\t")) if i % 2 else (head, foot)
+        rows.append((i, "\n".join([top, *own[:2], end, *own[2:], head]), "a"))
+        want[i] = "\n".join(own)
+    rows += [(100 + i, "\n".join([head, foot, line(40)]), "b") for i in range(9)]
+    want |= {i: text for i, text, _ in rows[80:]}  # the same lines on another host stay
+    rows += [(200 + i, "\n".join([head, line(10), foot, line(17)]), "a") for i in range(9)]
+    rows += [rows[3], (300, None, "a")]
+    documents = docs_of(rows)
+    good = line_quality.keep_good(documents)
+    assert good.columns == documents.columns
+    got = good.collect()
+    assert {r.doc_id: r.text for r in got} == want
+    assert len(got) == len(want) + 1
+
+
 def test_quality_awkward_rows(awkward, no_rows):
     got = {r.doc_id: r for r in line_quality.judge(awkward).collect()}
     assert got[1].n_words == 0 and got[1].base_failed and not got[1].kept
