@@ -7,7 +7,16 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
-from playpulse.llm import huffman, mixing, queries, sharding, splitters, token_output, toxicity
+from playpulse.llm import (
+    huffman,
+    mixing,
+    queries,
+    sharding,
+    splitters,
+    token_output,
+    token_pieces,
+    toxicity,
+)
 from playpulse.llm.scratch import new_folder, ship
 
 import corpus_pipeline
@@ -161,6 +170,21 @@ def test_token_files_are_read_back(spark, docs_of, awkward, no_rows, monkeypatch
     assert token_output.read_tokens(spark, folder).count() == 0
 
 
+def test_token_table_needs_one_worker_a_task(spark, docs_of, awkward):
+    rows = [(r.doc_id, r.text) for r in awkward.collect()]
+    found = queries.token_table(awkward)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "EvalPython" not in plan
+    want = Counter(
+        (d, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())) for d, ids in plain_tokens(rows)
+    )
+    assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in found.collect()) == want
+    assert token_pieces._LOADED == {}
+    token_pieces.tokens(open(pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")).read())
+    token_pieces.forget()
+    assert token_pieces._LOADED == {}
+
+
 # Mixing.
 
 
