@@ -68,3 +68,35 @@ def test_token_pieces_are_the_tokenizers_ids():
         for i in range(len(bounds) - 1):
             want = plain.encode(texts[first + i] or "", add_special_tokens=False).ids + [1]
             assert ids[bounds[i] : bounds[i + 1]].tolist() == want
+
+
+def test_new_pieces_are_tokenized_together(monkeypatch):
+    """Letters in few calls, whatever case; ids are the tokenizer's where marks or lower-casing
+    split a word of letters, where a capital composes, and where the table is emptied."""
+    tokenizers = pytest.importorskip("tokenizers")
+    public = pytest.importorskip("public_tokenizers")
+    with open(public.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        definition = f.read()
+    plain = tokenizers.Tokenizer.from_str(definition)
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcdefghiJKL", k=9)) for _ in range(4000)]
+    coder = token_pieces.Tokens(definition)
+    asked = []
+
+    def counted(texts):
+        asked.extend(texts)
+        return [np.array(plain.encode(t, add_special_tokens=False).ids, np.uint32) for t in texts]
+
+    monkeypatch.setattr(coder, "_encoded", counted)
+    monkeypatch.setitem(token_pieces._LOADED, definition, coder)
+    odd = ["H\u0331a h\u0331a", "İstanbul", "\u0958\u0915", "E\u0301 e\u0301 É", "K\u212a k", "ΣΑΣ σασ"]
+    odd += ["A <|endoftext|> a <|ENDOFTEXT|>", "ab AB aB 1a 1A", "don't DON'T"]
+    for most in (1 << 20, 1500):
+        monkeypatch.setattr(token_pieces, "_MOST_ENTRIES", most)
+        for texts in ([" ".join(words), *odd], [" ".join(words).swapcase(), *odd]):
+            for first, ids, bounds in token_pieces.encoded(definition, pa.array(texts), 1):
+                for i in range(len(bounds) - 1):
+                    want = plain.encode(texts[first + i], add_special_tokens=False).ids + [1]
+                    assert ids[bounds[i] : bounds[i + 1]].tolist() == want
+            if most > 1500:
+                assert len(asked) < 200
