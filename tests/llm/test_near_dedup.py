@@ -1,9 +1,11 @@
 """Near duplicates against all pairs, and classes that must not cost all pairs."""
 
+import hashlib
 import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from playpulse.llm import bytewords, near_dedup
 from playpulse.llm.components import components
@@ -149,3 +151,80 @@ def test_components(spark):
     assert {got[str(n).zfill(3)] for n in (7, 8, 9)} == {"007"}
     assert len({got[str(n).zfill(3)] for n in range(30, 90)}) == 1
     assert components(df.limit(0)).count() == 0
+
+
+def test_pairs_of_large_groups_are_rows_only_where_they_may_be_similar(spark, docs_of, monkeypatch):
+    """Variations of one text: classes as by all pairs, however blocks are dealt; rows are few."""
+    rng = random.Random(11)
+    base = [f"word{i}" for i in range(40)]
+    rows = []
+    for i in range(120):
+        copy = list(base) if i % 40 else [f"other{i}x{j}" for j in range(30)] * 2
+        for _ in range(rng.choice([1, 2, 3, 4])):
+            copy[rng.randrange(len(copy))] = f"new{rng.randrange(12)}"
+        rows.append((i, " ".join(copy)))
+    sets = [shingles_of(t) for _, t in rows]
+    close = sum(similarity(a, b) >= 0.6 for i, a in enumerate(sets) for b in sets[:i])
+    emitted = []
+    links = near_dedup._links
+
+    def counted(pairs, texts, threshold):
+        emitted.append(pairs.count())
+        return links(pairs, texts, threshold)
+
+    monkeypatch.setattr(near_dedup, "_links", counted)
+    for block, named in ((256, 16), (7, 1)):
+        monkeypatch.setattr(near_dedup, "BLOCK", block)
+        monkeypatch.setattr(near_dedup, "NAMED", named)
+        emitted.clear()
+        found = near_dedup.near_duplicates(docs_of(rows)).collect()
+        assert {r.doc_id: r.class_id for r in found} == classes_of(rows)
+        assert sum(emitted) < close
+
+
+def test_sketches_exclude_no_similar_pair():
+    """Repeats, and cells that are full on one side or on both."""
+    rng = random.Random(12)
+    texts = []
+    for n in (6, 12, 40, 200, 40_000, 40_000):
+        words = [f"w{rng.randrange(n * 2)}" for _ in range(n)]
+        for lost in (0, 1, 2, n // 40, n // 10):
+            copy = list(words) + (words[: n // 8] if lost == 2 else [])
+            for _ in range(lost):
+                copy[rng.randrange(len(copy))] = "x" + str(rng.random())
+            texts.append(" ".join(copy))
+    batch = pa.record_batch(
+        {"node": [hashlib.md5(t.encode()).digest() for t in texts], "text": texts}
+    )
+    sketched = pa.Table.from_batches(list(near_dedup._sketch([batch])))
+    # one block, each text in a class of its own, without names: all that may be similar
+    rows = [{**r, "label": r["node"], "named": [], "used": 0.0} for r in sketched.to_pylist()]
+    m = pa.array(
+        [rows],
+        pa.list_(
+            pa.struct(
+                {
+                    "node": pa.binary(),
+                    "label": pa.binary(),
+                    "named": pa.list_(pa.int64()),
+                    "used": pa.float64(),
+                    "total": pa.int64(),
+                    "distinct": pa.int64(),
+                    "sketch": pa.binary(),
+                }
+            )
+        ),
+    )
+    block = pa.record_batch({"bucket": pa.array([5], pa.int64()), "m": m})
+    met = pa.Table.from_batches(list(near_dedup._meet(0.8)([block])))
+    pairs = {frozenset(p.values()) for p in met.to_pylist()}
+    hashes = list(near_dedup._each_shingles(pa.array(texts)))
+    nodes = batch.column("node").to_pylist()
+    n_similar = 0
+    for i, a in enumerate(hashes):
+        for j in range(i):
+            if nodes[i] != nodes[j] and near_dedup.probability_jaccard(a, hashes[j]) >= 0.8:
+                n_similar += 1
+                assert frozenset((nodes[i], nodes[j])) in pairs
+    assert n_similar > 4
+    assert len(pairs) < 300
