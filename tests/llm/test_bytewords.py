@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from playpulse.llm import bytewords, token_pieces
+from playpulse.llm import bytewords, token_pieces, toxicity
 
 from .conftest import words_of
 
@@ -100,3 +100,16 @@ def test_new_pieces_are_tokenized_together(monkeypatch):
                     assert ids[bounds[i] : bounds[i + 1]].tolist() == want
             if most > 1500:
                 assert len(asked) < 200
+
+
+def test_terms_are_found_by_their_leading_bits():
+    """Terms that share their leading bits, the least and the largest; none in an empty one."""
+    rng = np.random.default_rng(4)
+    near = np.arange(50, dtype=np.uint64) + np.uint64(7 << 50)
+    known = np.unique(np.concatenate([rng.integers(0, 1 << 64, 3000, np.uint64), near]))
+    known = np.unique(np.append(known, np.array([0, (1 << 64) - 1], dtype=np.uint64)))
+    asked = np.concatenate([known, rng.integers(0, 1 << 64, 3000, np.uint64), near + np.uint64(99)])
+    places = {int(h): i for i, h in enumerate(known)}
+    found = toxicity._Lookup(known).find(asked)
+    assert found.tolist() == [places.get(int(h), -1) for h in asked]
+    assert (toxicity._Lookup(known[:0]).find(asked) == -1).all()
