@@ -228,3 +228,12 @@ def test_sketches_exclude_no_similar_pair():
                 assert frozenset((nodes[i], nodes[j])) in pairs
     assert n_similar > 4
     assert len(pairs) < 300
+
+
+def test_dedup_needs_one_worker_a_task(docs_of):
+    """A filter of what the function tells must not make a stage run it a second time."""
+    kept = near_dedup.dedup(docs_of([(i, f"some words of text {i % 5} and more") for i in range(9)]))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    branches = plan.count("LogicalRDD") or plan.count("Scan ExistingRDD[doc_id")
+    assert plan.count("ArrowEvalPython") == branches == 3
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 3, 4]
