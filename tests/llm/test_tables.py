@@ -202,6 +202,17 @@ def domain_rows(seed, n=400):
     return rows, labels
 
 
+def test_token_files_start_no_workers_for_rows(spark, docs_of, monkeypatch):
+    """Rows of a Python list would be written by workers of another kind, which stay idle."""
+    documents = docs_of([(1, "some text"), (2, "more text")])
+
+    def no_rows(*_):
+        raise AssertionError("rows of a Python list")
+
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", no_rows)
+    assert {r.doc_id: r.start for r in queries.token_table(documents).collect()}[1] == 0
+
+
 def test_rates_meet_targets_and_are_least_squares(spark, docs_of):
     rows, labels = domain_rows(3)
     documents = docs_of(rows)
@@ -324,6 +335,26 @@ def test_nearest_is_exact(monkeypatch):
             assert (alone[0] == got).all() and (alone[1] == similarity).all()
 
 
+def test_bounds_are_tight_and_hold():
+    """No cosine is above its bound; bounds are below those of a block's largest weights."""
+    rng = np.random.default_rng(9)
+    n, n_terms = 400, 300
+    weights = rng.random((n, n_terms)) ** 4 * rng.uniform(0.02, 1, n_terms)
+    weights = (weights / np.linalg.norm(weights, axis=1)[:, None]).astype(np.float32)
+    first = np.arange(n + 1) * n_terms
+    terms = np.tile(np.arange(n_terms, dtype=np.int32), n)
+    scale, ones = np.ones(n_terms), np.ones(n)
+    search = toxicity.Search(
+        toxicity.Index(scale, list(range(n)), ones, ones, first, terms, weights.ravel())
+    )
+    cosines = search.dense @ search.dense.T
+    bounds = search._norms(search.dense) @ search.norms.T
+    assert (bounds >= cosines - toxicity._SLACK).all()
+    blocks = (n // 50, 50, -1)
+    largest = search.dense @ search.dense.reshape(blocks).max(axis=1).T
+    assert bounds.reshape(n, *blocks[:2]).max(axis=2).mean() < largest.mean()
+
+
 def terms_of(text):
     words = [w.encode() for w in words_of(text)]
     return Counter(words + [(n, w[:n]) for w in words for n in (4, 5) if len(w) > n])
