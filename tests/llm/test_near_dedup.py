@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -9,6 +10,7 @@ import pyarrow as pa
 import pytest
 from playpulse.llm import bytewords, near_dedup
 from playpulse.llm.components import components
+from playpulse.llm.scratch import FILE_CLEANUP
 
 from .conftest import words_of
 
@@ -237,3 +239,22 @@ def test_dedup_needs_one_worker_a_task(docs_of):
     branches = plan.count("LogicalRDD") or plan.count("Scan ExistingRDD[doc_id")
     assert plan.count("ArrowEvalPython") == branches == 3
     assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 3, 4]
+
+
+def test_shuffle_files_go_when_their_rows_are_kept(spark, docs_of):
+    def shuffled():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {b for b in found.getAllBlocks().mkString(" ").split() if b.startswith("shuffle_")}
+
+    before = shuffled()
+    body = " ".join(f"w{i}" for i in range(60))
+    documents = docs_of([(i, f"{body} x{i % 4}") for i in range(20)] + [(99, "no other text")])
+    rows = near_dedup.near_duplicates(documents)
+    for _ in range(50):  # Spark deletes them beside the next job
+        if not shuffled() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert spark.conf.get(FILE_CLEANUP, None) is None
+    for _ in range(2):  # what is kept can be read again and again
+        assert {r.doc_id: r.class_id for r in rows.collect()} == {i: 0 for i in range(20)} | {99: 99}
