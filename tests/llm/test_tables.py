@@ -355,6 +355,35 @@ def test_bounds_are_tight_and_hold():
     assert bounds.reshape(n, *blocks[:2]).max(axis=2).mean() < largest.mean()
 
 
+def test_heavy_columns_leave_few_entries_to_finish(monkeypatch):
+    """Where few terms weigh most, the bounds exclude nearly all that is not among the nearest."""
+    rng = np.random.default_rng(4)
+    n, n_terms = 2000, 600
+    scale = np.where(rng.random(n_terms) < 0.2, rng.uniform(1, 4, n_terms), 0.05)
+    held = [np.flatnonzero(rng.random(n_terms) < 0.12).astype(np.int32) for _ in range(n + 50)]
+    first = np.append(0, np.cumsum([len(h) for h in held[:n]]))
+    ones = np.ones(n)
+    index = toxicity.Index(scale, list(range(n)), ones, ones, first, *(np.empty(0),) * 2)
+    weighed = [index.weigh(h, np.ones(len(h))) for h in held]
+    index.terms, index.weights = np.concatenate(held[:n]), np.concatenate(weighed[:n]).astype(np.float32)
+    search = toxicity.Search(index)
+    full = np.zeros((n + 50, n_terms))
+    for row, at, weights in zip(full, held, weighed, strict=True):
+        row[at] = weights
+    cosines = full[n:] @ full[:n].T
+    queries_ = full[n:, np.argsort(search.column)].astype(np.float32)  # all terms have columns
+    bounds = search._norms(queries_) @ search.norms.T
+    assert (bounds >= cosines - toxicity._SLACK).all()
+    worst = np.sort(cosines, axis=1)[:, -toxicity.K]
+    assert (bounds >= worst[:, None]).mean() < 0.02
+    for few in (0, toxicity.FEW, n):  # finished by blocks, either way, by themselves
+        monkeypatch.setattr(toxicity, "FEW", few)
+        found = search.nearest([(h, np.ones(len(h), dtype=int)) for h in held[n:]])
+        for (got, similarity), own in zip(found, cosines, strict=True):
+            assert own[got] == pytest.approx(np.sort(own)[::-1][: toxicity.K], abs=1e-6)
+            assert similarity == pytest.approx(own[got], abs=1e-6)
+
+
 def terms_of(text):
     words = [w.encode() for w in words_of(text)]
     return Counter(words + [(n, w[:n]) for w in words for n in (4, 5) if len(w) > n])
